@@ -1,0 +1,47 @@
+"""Joins of a large, possibly skewed fact side with a unique-keyed lookup side."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+
+def hot_keys(facts: DataFrame, on: list[str], at_most: int = 1000) -> DataFrame:
+    """Keys that hold at least ``1 / at_most`` of the rows, so never more than ``at_most``.
+
+    One map-side combined count over the key columns alone.
+    """
+    counts = facts.where(_all_set(on)).groupBy(*on).agg(F.count("*").alias("_rows"))
+    total = counts.select(F.sum("_rows")).scalar()
+    return counts.where(F.col("_rows") * at_most >= total).select(*on)
+
+
+def split_join(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "left_semi",
+               at_most: int = 1000) -> DataFrame:
+    """Join where a single key may hold a large part of ``facts``.
+
+    ``lookup`` must be unique on ``on``. Rows of hot keys meet a broadcast of their at
+    most ``at_most`` lookup rows and are not shuffled; all other rows take an ordinary
+    shuffled join whose groups are bounded by ``1 / at_most`` of the rows. Rows with a
+    null key match nothing and bypass both. Supports ``left_semi``, ``left_anti``,
+    ``inner`` and ``left``.
+    """
+    if how not in ("left_semi", "left_anti", "inner", "left"):
+        raise ValueError(f"unsupported join type {how!r}")
+    hot = F.broadcast(hot_keys(facts, on, at_most))
+    keyed = facts.where(_all_set(on))
+    hot_part = keyed.join(hot, on, "left_semi").join(
+        F.broadcast(lookup.join(hot, on, "left_semi")), on, how
+    )
+    cold_part = keyed.join(hot, on, "left_anti").join(lookup, on, how)
+    joined = hot_part.unionByName(cold_part)
+    if how in ("left", "left_anti"):
+        unkeyed = facts.where(~_all_set(on))
+        joined = joined.unionByName(unkeyed, allowMissingColumns=True)
+    return joined
+
+
+def _all_set(columns: list[str]):
+    condition = F.lit(True)
+    for name in columns:
+        condition = condition & F.col(name).isNotNull()
+    return condition
