@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from casewright.plans import report_queries  # noqa: F401
+from casewright.plans import explore_queries, report_queries  # noqa: F401
 from casewright.plans.registry import ENTRIES
 
 __all__ = ["ENTRIES"]

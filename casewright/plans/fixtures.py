@@ -146,7 +146,7 @@ def tickets_sql(*columns: str, name: str = "tickets") -> str:
 
 # A registered ticket is still listed as unassigned, a day later, after it moved on.
 RELISTED = "status_id <> 0 AND priority IN ('1-URGENT', '5-LOW')"
-_FEED_EXTRA = ("status_id", "priority")
+_FEED_EXTRA = ("created_on", "status_id", "priority")
 
 
 def feeds(spark: SparkSession, sf_dir: str, *columns: str) -> dict[int, DataFrame]:
