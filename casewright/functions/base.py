@@ -1,8 +1,24 @@
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def as_column(value) -> Column:
     """Column names and columns are both accepted by every function here."""
     return F.col(value) if isinstance(value, str) else value
+
+
+PIN = "_pinned"
+
+
+def pinned(columns: list) -> list:
+    """Columns of a costly projection, with a row number that keeps it in one piece.
+
+    A filter on a computed column is otherwise pushed below its projection and evaluates
+    the whole expression a second time. Filter such a projection with :func:`where_pinned`.
+    """
+    return [*columns, F.monotonically_increasing_id().alias(PIN)]
+
+
+def where_pinned(rows: DataFrame, condition: Column) -> DataFrame:
+    return rows.where(condition & (F.col(PIN) >= 0)).drop(PIN)

@@ -69,31 +69,18 @@ def local_to_utc(naive, zone: str) -> Column:
 
 # --- lax parsing of source strings ------------------------------------------------------
 
-_ISO = (
-    r"^(\d{4})-(\d{2})-(\d{2})"  # date
-    r"(?:.(\d{2})(?::(\d{2})(?::(\d{2})(?:[.,](\d+))?)?)?"  # any separator, then time
-    r"(Z|[+-]\d{2}:?\d{2})?)?$"  # offset
+_READABLE = (
+    r"^(\d{8}"  # compact date
+    r"|\d{4}-\d{2}-\d{2}(.\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?(Z|[+-]\d{2}:?\d{2})?)?"  # ISO
+    r"|\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2})$"  # one-digit parts
 )
-_COMPACT = r"^(\d{4})(\d{2})(\d{2})$"
-_LOOSE = r"^(\d{4})-(\d{1,2})-(\d{1,2})T(\d{1,2}):(\d{1,2}):(\d{1,2})$"
+_OFFSET = r"^.{11,}(Z|[+-]\d{2}:?\d{2})$"
 _ACTION = r"^\s*(\d{1,2})-([A-Za-z]{3})-(\d{4})\s+(\d{1,2}):(\d{1,2})\s+([AaPp][Mm])\s*$"
 
 # --- Fixed values: English month abbreviations ---
 _MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
 
-def _pick(text: Column, pattern: str, group: int) -> Column:
-    return F.regexp_extract(text, pattern, group)
-
-
-def _or_zero(part: Column) -> Column:
-    return F.when(part == "", F.lit("00")).otherwise(part)
-
-
-def _to_ntz(text: Column) -> Column:
-    return text.try_cast("timestamp_ntz")
-
-
 def parse_iso(text) -> Column:
     """ISO date or date-time as a naive timestamp; anything else gives null.
 
@@ -102,43 +89,19 @@ def parse_iso(text) -> Column:
     ``2024-6-1T1:2:3``. An offset is applied, so the result is UTC wall time.
     """
     text = as_column(text)
-    clock = F.concat_ws(
-        ":",
-        _or_zero(_pick(text, _ISO, 4)),
-        _or_zero(_pick(text, _ISO, 5)),
-        _or_zero(_pick(text, _ISO, 6)),
+    readable = F.when(text.rlike(_READABLE), text)
+    plain = F.regexp_replace(readable, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
+    plain = F.regexp_replace(plain, r"^(\d{4}-\d{1,2}+-\d{1,2}+).(.*)$", "$1T$2")
+    plain = F.regexp_replace(plain, r"^(.{13})(Z|[+-].*)?$", "$1:00$2")  # hour without minutes
+    plain = F.replace(plain, F.lit(","), F.lit("."))
+    instant_utc = F.convert_timezone(
+        F.current_timezone(), F.lit("UTC"), plain.try_cast("timestamp").cast("timestamp_ntz")
     )
-    fraction = F.rpad(F.substring(_pick(text, _ISO, 7), 1, 6), 6, "0")
-    wall = _to_ntz(
-        F.concat(
-            F.concat_ws("-", _pick(text, _ISO, 1), _pick(text, _ISO, 2), _pick(text, _ISO, 3)),
-            F.lit(" "), clock, F.lit("."), fraction,
-        )
-    )
-    offset = _pick(text, _ISO, 8)
-    sign = F.when(offset.startswith("-"), F.lit(1)).otherwise(F.lit(-1))
-    minutes = (
-        F.substring(offset, 2, 2).try_cast("int") * 60
-        + F.substring(offset, -2, 2).try_cast("int")
-    )
-    shifted = F.timestamp_add("MINUTE", sign * minutes, wall)
-    strict = F.when(offset.isin("", "Z"), wall).otherwise(shifted)
+    return F.when(text.rlike(_OFFSET), instant_utc).otherwise(plain.try_cast("timestamp_ntz"))
 
-    def parts(pattern: str, first: int, count: int, joiner: str) -> Column:
-        return F.concat_ws(
-            joiner, *[F.lpad(_pick(text, pattern, first + i), 2, "0") for i in range(count)]
-        )
 
-    loose = F.concat(
-        _pick(text, _LOOSE, 1), F.lit("-"), parts(_LOOSE, 2, 2, "-"),
-        F.lit(" "), parts(_LOOSE, 4, 3, ":"),
-    )
-    compact = F.concat_ws("-", *[_pick(text, _COMPACT, g) for g in (1, 2, 3)])
-    return (
-        F.when(text.rlike(_ISO), strict)
-        .when(text.rlike(_COMPACT), _to_ntz(compact))
-        .when(text.rlike(_LOOSE), _to_ntz(loose))
-    )
+def _pick(text: Column, group: int) -> Column:
+    return F.regexp_extract(text, _ACTION, group)
 
 
 def parse_action_time(text, fix_meridiem: bool = False) -> Column:
@@ -148,20 +111,20 @@ def parse_action_time(text, fix_meridiem: bool = False) -> Column:
     mark. ``fix_meridiem=True`` honours it for hours up to 12 instead.
     """
     text = as_column(text)
-    month = F.array_position(F.lit(list(_MONTHS)), F.lower(_pick(text, _ACTION, 2)))
-    hour = _pick(text, _ACTION, 4).try_cast("int")
+    month = F.array_position(F.lit(list(_MONTHS)), F.lower(_pick(text, 2)))
+    hour = _pick(text, 4).try_cast("int")
     if fix_meridiem:
-        mark = F.lower(_pick(text, _ACTION, 6))
+        mark = F.lower(_pick(text, 6))
         hour = (
             F.when((mark == "pm") & (hour < 12), hour + 12)
             .when((mark == "am") & (hour == 12), F.lit(0))
             .otherwise(hour)
         )
     stamp = F.concat(
-        _pick(text, _ACTION, 3), F.lit("-"),
+        _pick(text, 3), F.lit("-"),
         F.lpad(month.cast("string"), 2, "0"), F.lit("-"),
-        F.lpad(_pick(text, _ACTION, 1), 2, "0"), F.lit(" "),
+        F.lpad(_pick(text, 1), 2, "0"), F.lit(" "),
         F.lpad(hour.cast("string"), 2, "0"), F.lit(":"),
-        F.lpad(_pick(text, _ACTION, 5), 2, "0"), F.lit(":00"),
+        F.lpad(_pick(text, 5), 2, "0"), F.lit(":00"),
     )
-    return F.coalesce(parse_iso(text), F.when(text.rlike(_ACTION), _to_ntz(stamp)))
+    return F.coalesce(parse_iso(text), F.when(text.rlike(_ACTION), stamp.try_cast("timestamp_ntz")))

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from casewright import contracts as C
 from casewright.functions import dates
+from casewright.functions.base import PIN, pinned, where_pinned
 
 # --- office spelling ---------------------------------------------------------------------
 
@@ -98,7 +99,8 @@ def conform(records: DataFrame, fields: tuple[C.Field, ...], record: str = "reco
     """Typed columns of every field plus ``errors`` (array of ``field:problem``).
 
     Other columns are carried along. ``given`` maps a field to a column that already
-    holds its value (the ticket an action list was requested for).
+    holds its value (the ticket an action list was requested for). The result is pinned;
+    persist or write it when both valid and rejected rows are wanted.
     """
     given = given or {}
     carried = [c for c in records.columns if c not in (record, *given.values())]
@@ -110,9 +112,8 @@ def conform(records: DataFrame, fields: tuple[C.Field, ...], record: str = "reco
         typed, error = _value_and_error(field, F.col(record))
         values.append(typed.alias(field.name))
         errors.append(error)
-    return records.select(
-        *carried, record, *values, F.array_compact(F.array(*errors)).alias("errors")
-    )
+    problems = F.array_compact(F.array(*errors)).alias("errors")
+    return records.select(*pinned([*carried, record, *values, problems]))
 
 
 @dataclass(frozen=True)
@@ -126,10 +127,10 @@ class Conformed:
 def split_valid(checked: DataFrame, fields: tuple[C.Field, ...], record: str = "record") -> Conformed:
     names = {f.name for f in fields}
     ok = F.size("errors") == 0
-    carried = [c for c in checked.columns if c not in names | {record, "errors"}]
+    carried = [c for c in checked.columns if c not in names | {record, "errors", PIN}]
     return Conformed(
-        checked.where(ok).drop(record, "errors"),
-        checked.where(~ok).select(*carried, F.to_json(record).alias(record), "errors"),
+        where_pinned(checked, ok).drop(record, "errors"),
+        where_pinned(checked, ~ok).select(*carried, F.to_json(record).alias(record), "errors"),
     )
 
 

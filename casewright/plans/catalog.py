@@ -1,6 +1,8 @@
 """All registered queries."""
 
-from casewright.plans import explore_queries, report_queries  # noqa: F401
+from casewright.plans import (  # noqa: F401
+    explore_queries, ingest_queries, report_queries, table_queries,
+)
 from casewright.plans.registry import ENTRIES
 
 __all__ = ["ENTRIES"]

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from casewright import contracts as C
+from casewright.functions.base import pinned, where_pinned
 
 CELL_PARTITIONS = T.StructType(
     [T.StructField("value", T.StringType())]
@@ -49,39 +50,37 @@ def _payload(body: Column) -> tuple[Column, Column]:
 
 
 def open_envelopes(envelopes: DataFrame, text: str = "value") -> DataFrame:
-    """Adds ``payload`` (variant) and ``reason`` (null for a usable or empty answer)."""
+    """Adds ``payload`` (variant) and ``reason`` (null for a usable or empty answer).
+
+    The result is pinned, see :func:`casewright.functions.base.pinned`.
+    """
     parsed = envelopes.withColumn("_body", F.try_parse_json(F.col(text)))
     body = F.col("_body")
     code = F.variant_get(body, "$.status", "variant")
     status = F.when(F.schema_of_variant(code) == "BIGINT", code.try_cast("bigint"))
     payload, present = _payload(body)
-    is_list = F.schema_of_variant(payload).startswith("ARRAY")
-    empty = F.coalesce(F.is_variant_null(payload), F.lit(False))
+    kind = F.schema_of_variant(payload)
     reason = (
         F.when(body.isNull(), F.lit("not_json"))
         .when(status.isNull() | ~status.isin(200, 204), F.lit("error_status"))
         .when((status == 200) & ~present, F.lit("no_payload"))
-        .when((status == 200) & ~is_list & ~empty, F.lit("not_a_list"))
-    )
-    usable = reason.isNull() & (status == 200)
-    return (
-        parsed.withColumn("payload", F.when(usable, payload))
-        .withColumn("reason", reason)
-        .drop("_body")
+        .when((status == 200) & ~kind.startswith("ARRAY") & (kind != "VOID"), F.lit("not_a_list"))
     )
+    listed = (status == 200) & kind.startswith("ARRAY")
+    return parsed.select(*pinned(
+        [*envelopes.columns, F.when(listed, payload).alias("payload"), reason.alias("reason")]
+    ))
 
 
 def unwrap_envelopes(envelopes: DataFrame, text: str = "value") -> Unwrapped:
     """Status 200 yields its records, 204 yields none, all else is rejected with a reason."""
     opened = open_envelopes(envelopes, text)
     carried = [c for c in envelopes.columns if c != text]
-    usable = opened.where(
-        F.col("payload").isNotNull() & ~F.is_variant_null("payload")
-    ).select(*carried, "payload")
+    usable = where_pinned(opened, F.col("payload").isNotNull()).select(*carried, "payload")
     records = usable.lateralJoin(
         envelopes.sparkSession.tvf.variant_explode(F.col("payload").outer())
     ).select(*carried, "pos", F.col("value").alias("record"))
-    rejects = opened.where(F.col("reason").isNotNull()).select(*carried, text, "reason")
+    rejects = where_pinned(opened, F.col("reason").isNotNull()).select(*carried, text, "reason")
     return Unwrapped(records, rejects)
 
 
