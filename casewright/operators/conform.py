@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from difflib import get_close_matches
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -21,17 +20,20 @@ from casewright.functions.base import PIN, pinned, where_pinned
 # --- office spelling ---------------------------------------------------------------------
 
 
-@lru_cache(maxsize=65536)
-def closest_office(spelling: str) -> str | None:
-    found = get_close_matches(
-        spelling, list(C.OFFICES.values()), n=1, cutoff=C.OFFICE_MATCH_CUTOFF
-    )
-    return found[0] if found else None
+def _office_matcher():
+    """Closest label by sequence similarity. Each spelling of a batch is matched once; the
+    function is self-contained, so executors need nothing but pandas."""
+    labels, cutoff = list(C.OFFICES.values()), C.OFFICE_MATCH_CUTOFF
+
+    def closest(spelling):
+        found = get_close_matches(spelling, labels, n=1, cutoff=cutoff)
+        return found[0] if found else None
 
+    def closest_office(spellings: pd.Series) -> pd.Series:
+        known = {s: closest(s) for s in spellings.dropna().unique()}
+        return spellings.map(known).astype(object)
 
-@F.pandas_udf(T.StringType())
-def _closest_office(spellings: pd.Series) -> pd.Series:
-    return spellings.map(closest_office, na_action="ignore").astype(object)
+    return F.pandas_udf(closest_office, T.StringType())
 
 
 def matched_office(office: Column) -> Column:
@@ -40,58 +42,47 @@ def matched_office(office: Column) -> Column:
     Exact labels are settled by the built-in test; the matcher receives null for them.
     """
     exact = office.isin(*C.OFFICES.values())
-    return F.when(exact, office).otherwise(_closest_office(F.when(~exact, office)))
+    return F.when(exact, office).otherwise(_office_matcher()(F.when(~exact, office)))
 
 
 # --- field rules --------------------------------------------------------------------------
 
-
-def _text(value: Column, kind: Column) -> Column:
-    return F.when(kind == "STRING", value.try_cast("string"))
-
-
-def _whole_number(value: Column, kind: Column) -> Column:
-    """Numbers without a fraction, booleans, and strings that spell a whole number."""
-    text = F.trim(value.try_cast("string"))
-    number = F.when(text.rlike(r"^[+-]?\d+(\.0+)?$"), text.try_cast("decimal(38,6)"))
-    return F.when(kind == "BOOLEAN", value.try_cast("boolean").cast("int")).otherwise(
-        number.try_cast("int")
-    )
-
-
-def _value_and_error(field: C.Field, record: Column) -> tuple[Column, Column]:
-    value = F.variant_get(record, f"$.{field.wire}", "variant")
-    kind = F.schema_of_variant(value)
-    absent = value.isNull()
-    null = kind == "VOID"
-    text = _text(value, kind)
-    if field.kind == "text":
-        typed, problem = text, "not_text"
-        wrong = typed.isNull() & (~null | F.lit(not field.nullable))
-    elif field.kind == "any":
-        typed = F.when(kind == "STRING", text).when(~null, F.to_json(value))
-        return typed, F.when(absent, F.lit(f"{field.name}:missing"))
-    elif field.kind == "int":
-        typed, problem = _whole_number(value, kind), "not_int"
-        wrong = typed.isNull()
-    elif field.kind == "yes_no":
-        typed = F.when(text.isin("Yes", "yes"), F.lit(True)).when(
-            text.isin("No", "no"), F.lit(False)
-        )
-        problem, wrong = "not_yes_no", typed.isNull()
-    elif field.kind == "office":
-        typed, problem = matched_office(text), "unknown_office"
-        wrong = typed.isNull()
-    elif field.kind in ("iso_time", "action_time"):
-        parse = dates.parse_iso if field.kind == "iso_time" else dates.parse_action_time
-        typed, problem = parse(text), "not_time"
-        wrong = typed.isNull() & F.lit(not field.nullable)
+# Per kind: the typed value and when it is wrong, over {v} (the field as a variant, null
+# when the key is absent) and {t} (its text when it is a JSON string).
+_TEXT = "CASE WHEN schema_of_variant({v}) = 'STRING' THEN try_cast({v} AS STRING) END"
+_VALUES = {
+    "text": "{t}",
+    "any": "CASE WHEN schema_of_variant({v}) = 'VOID' THEN NULL ELSE coalesce({t}, to_json({v})) END",
+    # Whole numbers, also as text or with an empty fraction, and booleans.
+    "int": """CASE WHEN schema_of_variant({v}) = 'BOOLEAN' THEN CAST(try_cast({v} AS BOOLEAN) AS INT)
+ WHEN trim(try_cast({v} AS STRING)) RLIKE '^[+-]?[0-9]+([.]0+)?$'
+ THEN try_cast(try_cast(trim(try_cast({v} AS STRING)) AS DECIMAL(38, 6)) AS INT) END""",
+    "yes_no": "CASE WHEN {t} IN ('Yes', 'yes') THEN true WHEN {t} IN ('No', 'no') THEN false END",
+}
+_PROBLEMS = {
+    "text": "not_text", "int": "not_int", "yes_no": "not_yes_no", "office": "unknown_office",
+    "iso_time": "not_time", "action_time": "not_time",
+}
+
+
+def _value_and_error(field: C.Field, record: str) -> tuple[Column, Column]:
+    v = f"variant_get({record}, '$.{field.wire}', 'variant')"
+    t = _TEXT.format(v=v)
+    if field.kind == "office":
+        typed = matched_office(F.expr(t))
+    elif field.kind == "iso_time":
+        typed = dates.parse_iso(F.expr(t))
+    elif field.kind == "action_time":
+        typed = dates.parse_action_time(F.expr(t))
     else:
-        raise ValueError(f"no rule for kind {field.kind!r}")
-    error = F.when(absent, F.lit(f"{field.name}:missing")).when(
-        wrong, F.lit(f"{field.name}:{problem}")
-    )
-    return typed.cast(C.field_type(field)), error
+        typed = F.expr(_VALUES[field.kind].format(v=v, t=t))
+    missing = F.when(F.expr(f"{v} IS NULL"), F.lit(f"{field.name}:missing"))
+    if field.kind == "any" or (field.nullable and field.kind.endswith("time")):
+        return typed, missing
+    wrong = typed.isNull()
+    if field.nullable:
+        wrong = wrong & F.expr(f"schema_of_variant({v}) <> 'VOID'")
+    return typed, missing.when(wrong, F.lit(f"{field.name}:{_PROBLEMS[field.kind]}"))
 
 
 def conform(records: DataFrame, fields: tuple[C.Field, ...], record: str = "record",
@@ -109,8 +100,8 @@ def conform(records: DataFrame, fields: tuple[C.Field, ...], record: str = "reco
         if field.name in given:
             values.append(F.col(given[field.name]).cast(C.field_type(field)).alias(field.name))
             continue
-        typed, error = _value_and_error(field, F.col(record))
-        values.append(typed.alias(field.name))
+        typed, error = _value_and_error(field, record)
+        values.append(typed.cast(C.field_type(field)).alias(field.name))
         errors.append(error)
     problems = F.array_compact(F.array(*errors)).alias("errors")
     return records.select(*pinned([*carried, record, *values, problems]))

@@ -17,6 +17,7 @@ def local_session(app: str, cores: str | int = "*", shuffle_partitions: int = 8)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("CASEWRIGHT_DRIVER_MEMORY", "8g"))
         .getOrCreate()
