@@ -38,6 +38,7 @@ def analysis_table(feeds: dict[int, DataFrame]) -> DataFrame:
     order = [
         F.col(c).asc_nulls_last()
         for c in ("created_on", "escalation_date", "resolved_on", "status_id")
+        if c in stacked.columns
     ]
     first = one_per_key(stacked, ["ticket_no"], order)
     return first.withColumn("office", tx.corrected_office("office"))
