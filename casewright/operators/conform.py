@@ -47,41 +47,42 @@ def matched_office(office: Column) -> Column:
 
 # --- field rules --------------------------------------------------------------------------
 
-# Per kind: the typed value and when it is wrong, over {v} (the field as a variant, null
-# when the key is absent) and {t} (its text when it is a JSON string).
-_TEXT = "CASE WHEN schema_of_variant({v}) = 'STRING' THEN try_cast({v} AS STRING) END"
-_VALUES = {
-    "text": "{t}",
-    "any": "CASE WHEN schema_of_variant({v}) = 'VOID' THEN NULL ELSE coalesce({t}, to_json({v})) END",
-    # Whole numbers, also as text or with an empty fraction, and booleans.
-    "int": """CASE WHEN schema_of_variant({v}) = 'BOOLEAN' THEN CAST(try_cast({v} AS BOOLEAN) AS INT)
- WHEN trim(try_cast({v} AS STRING)) RLIKE '^[+-]?[0-9]+([.]0+)?$'
- THEN try_cast(try_cast(trim(try_cast({v} AS STRING)) AS DECIMAL(38, 6)) AS INT) END""",
-    "yes_no": "CASE WHEN {t} IN ('Yes', 'yes') THEN true WHEN {t} IN ('No', 'no') THEN false END",
-}
 _PROBLEMS = {
     "text": "not_text", "int": "not_int", "yes_no": "not_yes_no", "office": "unknown_office",
     "iso_time": "not_time", "action_time": "not_time",
 }
 
 
-def _value_and_error(field: C.Field, record: str) -> tuple[Column, Column]:
-    v = f"variant_get({record}, '$.{field.wire}', 'variant')"
-    t = _TEXT.format(v=v)
-    if field.kind == "office":
-        typed = matched_office(F.expr(t))
+def _value_and_error(field: C.Field) -> tuple[Column, Column]:
+    """Typed value and violated rule of a field, over its extracted JSON type (null when
+    the key is absent) and its text form."""
+    json_type, text = F.col(f"_type_{field.name}"), F.col(f"_text_{field.name}")
+    is_null = json_type == "VOID"
+    string = F.when(json_type == "STRING", text)
+    if field.kind == "any":
+        typed = F.when(~is_null, text)
+    elif field.kind == "int":
+        # Whole numbers, also as text or with an empty fraction, and booleans.
+        whole = F.when(F.trim(text).rlike("^[+-]?[0-9]+([.]0+)?$"), F.trim(text))
+        typed = F.when(json_type == "BOOLEAN", (text == "true").cast("int")).otherwise(
+            whole.try_cast("decimal(38,6)").try_cast("int")
+        )
+    elif field.kind == "yes_no":
+        typed = F.when(string.isin("Yes", "yes"), F.lit(True)).when(
+            string.isin("No", "no"), F.lit(False)
+        )
+    elif field.kind == "office":
+        typed = matched_office(string)
     elif field.kind == "iso_time":
-        typed = dates.parse_iso(F.expr(t))
+        typed = dates.parse_iso(string)
     elif field.kind == "action_time":
-        typed = dates.parse_action_time(F.expr(t))
+        typed = dates.parse_action_time(string)
     else:
-        typed = F.expr(_VALUES[field.kind].format(v=v, t=t))
-    missing = F.when(F.expr(f"{v} IS NULL"), F.lit(f"{field.name}:missing"))
+        typed = string
+    missing = F.when(json_type.isNull(), F.lit(f"{field.name}:missing"))
     if field.kind == "any" or (field.nullable and field.kind.endswith("time")):
         return typed, missing
-    wrong = typed.isNull()
-    if field.nullable:
-        wrong = wrong & F.expr(f"schema_of_variant({v}) <> 'VOID'")
+    wrong = typed.isNull() & ~is_null if field.nullable else typed.isNull()
     return typed, missing.when(wrong, F.lit(f"{field.name}:{_PROBLEMS[field.kind]}"))
 
 
@@ -95,16 +96,24 @@ def conform(records: DataFrame, fields: tuple[C.Field, ...], record: str = "reco
     """
     given = given or {}
     carried = [c for c in records.columns if c not in (record, *given.values())]
+    read = [f for f in fields if f.name not in given]
+    # Each field is read from the record once; the rules only look at the results.
+    extracted = records.select(
+        *carried, record, *given.values(),
+        *[F.expr(f"schema_of_variant(variant_get({record}, '$.{f.wire}', 'variant')) AS _type_{f.name}")
+          for f in read],
+        *[F.expr(f"try_variant_get({record}, '$.{f.wire}', 'string') AS _text_{f.name}") for f in read],
+    )
     values, errors = [], []
     for field in fields:
         if field.name in given:
             values.append(F.col(given[field.name]).cast(C.field_type(field)).alias(field.name))
             continue
-        typed, error = _value_and_error(field, record)
+        typed, error = _value_and_error(field)
         values.append(typed.cast(C.field_type(field)).alias(field.name))
         errors.append(error)
     problems = F.array_compact(F.array(*errors)).alias("errors")
-    return records.select(*pinned([*carried, record, *values, problems]))
+    return extracted.select(*pinned([*carried, record, *values, problems]))
 
 
 @dataclass(frozen=True)

@@ -127,9 +127,12 @@ def tickets(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     if "doc" in needed:
         docs = read(spark, sf_dir, "documents").select("doc_id", "text")
         n_docs = docs.select(F.count("*")).scalar()
-        rows = rows.withColumn("_doc", F.col("o_orderkey") % n_docs).join(
-            docs, F.expr("_doc = doc_id"), "left"
-        )
+        # A text is some 60 times as wide as the row it joins. Spreading the rows by count
+        # keeps the tasks behind the join even; it is also the partitioning a shuffled
+        # join needs. Sizes seen before the join would merge the rows into few tasks.
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        rows = rows.withColumn("_doc", F.col("o_orderkey") % n_docs).repartition(parts, "_doc")
+        rows = rows.join(docs, F.expr("_doc = doc_id"), "left")
     return rows.select(*[F.expr(TICKET_COLUMNS[c][1]).alias(c) for c in columns])
 
 
