@@ -91,8 +91,7 @@ def conform(records: DataFrame, fields: tuple[C.Field, ...], record: str = "reco
     """Typed columns of every field plus ``errors`` (array of ``field:problem``).
 
     Other columns are carried along. ``given`` maps a field to a column that already
-    holds its value (the ticket an action list was requested for). The result is pinned;
-    persist or write it when both valid and rejected rows are wanted.
+    holds its value (the ticket an action list was requested for). The result is pinned.
     """
     given = given or {}
     carried = [c for c in records.columns if c not in (record, *given.values())]
@@ -118,10 +117,12 @@ def conform(records: DataFrame, fields: tuple[C.Field, ...], record: str = "reco
 
 @dataclass(frozen=True)
 class Conformed:
-    """``valid``: carried and typed columns. ``rejects``: carried columns, record, errors."""
+    """``valid``: carried and typed columns. ``rejects``: carried columns, record, errors.
+    Both filter ``checked``; persist that when both are used."""
 
     valid: DataFrame
     rejects: DataFrame
+    checked: DataFrame
 
 
 def split_valid(checked: DataFrame, fields: tuple[C.Field, ...], record: str = "record") -> Conformed:
@@ -131,6 +132,7 @@ def split_valid(checked: DataFrame, fields: tuple[C.Field, ...], record: str = "
     return Conformed(
         where_pinned(checked, ok).drop(record, "errors"),
         where_pinned(checked, ~ok).select(*carried, F.to_json(record).alias(record), "errors"),
+        checked,
     )
 
 

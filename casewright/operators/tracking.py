@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from casewright import contracts as C
 from casewright.functions import dates
+from casewright.operators.spread import split_join
 
 Instant = Column | str | datetime
 CELL_KEYS = list(C.CELL_KEYS)
@@ -28,25 +29,17 @@ def record_outcomes(tracking: DataFrame, outcomes: DataFrame, keys: list[str], n
     and ``attempt_seq``, in any number per key. A success sets fetch time and count and
     clears failures; each failure after the last success adds one and keeps the rest.
     """
-    # One map-side combined pass: where the last success stands, and the failures in all.
     won = F.col("outcome") == "success"
     last = outcomes.groupBy(*keys).agg(
         F.max(F.when(won, F.struct("attempt_seq", "records"))).alias("_won")
     )
-    folded = (
-        outcomes.where(~won)
-        .groupBy(*keys, "attempt_seq").agg(F.count("*").alias("_n"))
-        .join(last, keys, "right")
-        .groupBy(*keys).agg(
-            F.max("_won").alias("_won"),
-            F.coalesce(
-                F.sum(F.when(
-                    F.col("_won").isNull() | (F.col("attempt_seq") > F.col("_won.attempt_seq")),
-                    F.col("_n"),
-                )), F.lit(0),
-            ).alias("_failed"),
-        )
-    )
+    # A key may have very many attempts; its last success is one row.
+    later = split_join(
+        outcomes.where(~won).select(*keys, "attempt_seq"),
+        last.where(F.col("_won").isNotNull()), keys, "left",
+    ).where(F.col("_won").isNull() | (F.col("attempt_seq") > F.col("_won.attempt_seq")))
+    failed = later.groupBy(*keys).agg(F.count("*").alias("_failed"))
+    folded = last.join(failed, keys, "left")
     return _apply(tracking, folded, keys, now)
 
 

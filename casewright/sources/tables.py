@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 _MARKER = T.StructType([
@@ -31,13 +32,13 @@ class Table:
 
     def current(self) -> tuple[int, str] | None:
         """Latest committed (version, folder). Reads the markers only."""
-        markers = self._path(self._versions)
-        if not self._exists(markers):
+        try:
+            markers = self.spark.read.schema(_MARKER).parquet(self._versions)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
-        latest = (
-            self.spark.read.schema(_MARKER).parquet(self._versions)
-            .orderBy(F.col("version").desc()).first()
-        )
+        latest = markers.orderBy(F.col("version").desc()).first()
         return (latest["version"], latest["folder"]) if latest else None
 
     def read(self) -> DataFrame:
@@ -60,13 +61,6 @@ class Table:
         marker.coalesce(1).write.mode("append").parquet(self._versions)
         return version
 
-    def _path(self, text: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(text)
-
-    def _exists(self, path) -> bool:
-        conf = self.spark._jsc.hadoopConfiguration()
-        return path.getFileSystem(conf).exists(path)
-
 
 def read_jdbc_table(spark: SparkSession, url: str, table: str, key: str, bounds, partitions: int,
                     properties: dict | None = None) -> DataFrame:

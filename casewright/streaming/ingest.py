@@ -50,12 +50,16 @@ def apply_batch(feed: Feed, tables: Table, rejects_root: str, envelopes: DataFra
     ``request_ticket``) into the table and append what was rejected."""
     unwrapped = unwrap_envelopes(envelopes)
     result = feed.conform(unwrapped.records)
-    merged = feed.merge(tables.read(), result.valid)
-    written = tables.write(merged, version)
-    # One folder per version, overwritten on replay: a rerun leaves no second copy.
-    result.rejects.write.mode("overwrite").parquet(
-        f"{rejects_root}/{feed.table}/records/v{written:08d}"
-    )
+    result.checked.persist()  # read for the merge and for the rejects; lost blocks recompute
+    try:
+        merged = feed.merge(tables.read(), result.valid)
+        written = tables.write(merged, version)
+        # One folder per version, overwritten on replay: a rerun leaves no second copy.
+        result.rejects.write.mode("overwrite").parquet(
+            f"{rejects_root}/{feed.table}/records/v{written:08d}"
+        )
+    finally:
+        result.checked.unpersist()
     unwrapped.rejects.write.mode("overwrite").parquet(
         f"{rejects_root}/{feed.table}/envelopes/v{written:08d}"
     )
