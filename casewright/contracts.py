@@ -80,7 +80,7 @@ ACTION_FIELDS: tuple[Field, ...] = (
 # Envelope keys that may carry the record list, in order of precedence.
 ENVELOPE_KEYS = ("distRes", "Res", "actionHistory")
 
-# --- Fixed values: reference dimensions ----------------------------------------------
+# --- Fixed values: dimensions ----------------------------------------------
 STATUSES = {0: "To be assigned", 1: "Assigned but pending", 2: "Disposed"}
 OFFICES = {
     1: "Office of Chief Minister",
