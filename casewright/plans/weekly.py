@@ -51,5 +51,8 @@ def record_requests(table: Table, attempts: DataFrame, landed: DataFrame, keys:
 
 
 def publish_reports(tickets: DataFrame, as_of: datetime | str, root: str) -> dict[str, str]:
-    """Compute the report set over the analysis table and write each report."""
+    """Compute the report set over the analysis table and write each report.
+
+    Pass a stored table: every report reads it once, with the columns it needs.
+    """
     return write_reports(reports.report_catalogue(tickets, as_of), root)
