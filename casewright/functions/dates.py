@@ -64,7 +64,7 @@ def days_before(now: Column | str | datetime, days: int) -> Column:
 
 def local_to_utc(naive, zone: str) -> Column:
     """UTC wall time of a naive timestamp that was taken in ``zone``."""
-    return F.to_utc_timestamp(as_column(naive).cast("timestamp"), zone).cast("timestamp_ntz")
+    return F.convert_timezone(F.lit(zone), F.lit("UTC"), as_column(naive))
 
 
 # --- lax parsing of source strings ------------------------------------------------------

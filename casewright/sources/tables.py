@@ -56,7 +56,8 @@ class Table:
         elif latest is not None and latest[0] >= version:
             return version
         folder = f"{self.root}/{self.name}/v{version:08d}"
-        rows.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(folder)
+        typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
+        rows.select(*typed).write.mode("overwrite").parquet(folder)
         marker = self.spark.createDataFrame([(version, folder)], _MARKER)
         marker.coalesce(1).write.mode("append").parquet(self._versions)
         return version
@@ -77,9 +78,9 @@ def write_json(rows: DataFrame, path: str) -> None:
 
 
 def write_reports(reports: dict[str, DataFrame], root: str) -> dict[str, str]:
-    """Each report as one small Parquet folder; returns the folders."""
+    """Each report as a Parquet folder; returns the folders."""
     written = {}
     for name, report in reports.items():
         written[name] = f"{root}/{name}"
-        report.coalesce(1).write.mode("errorifexists").parquet(written[name])
+        report.write.mode("errorifexists").parquet(written[name])
     return written

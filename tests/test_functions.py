@@ -55,6 +55,19 @@ def test_other_dates(spark):
     assert one(spark, dates.month_name(dates.ntz("2025-06-22"))) == "June"
 
 
+def test_dates_do_not_depend_on_the_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert one(spark, dates.parse_iso("c"), c="2024-06-01T10:20:30+05:30") == ts("2024-06-01 04:50:30")
+        assert one(spark, dates.parse_iso("c"), c="2024-03-10T02:30:00") == ts("2024-03-10 02:30:00")
+        assert one(spark, dates.from_epoch_millis("c"), c=1735689600123) == ts("2025-01-01 00:00:00.123")
+        assert one(spark, dates.local_to_utc(dates.ntz("2025-01-08 05:30:00"), "Asia/Kolkata")) == ts("2025-01-08")
+        days = dates.elapsed_days(dates.ntz("2024-03-10 00:00:00"), dates.ntz("2024-03-11 00:00:00"))
+        assert one(spark, days) == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_rounding_and_division(spark):
     assert one(spark, num.rounded(F.lit(0.25), 1)) == 0.2
     assert one(spark, num.rounded(F.lit(2.5))) == 2.0
