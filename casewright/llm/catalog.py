@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from casewright.llm import chat, exact_dedup, mixing
-from casewright.llm.common import table
+from pyspark.sql import functions as F
+
+from casewright.llm import chat, decontaminate, exact_dedup, language_id, mixing, simhash, token_files
+from casewright.llm.common import fold, table
 from casewright.plans.registry import Entry
 
 ENTRIES: dict[str, Entry] = {}
@@ -29,3 +31,28 @@ def _(spark, sf):
 @_query("op7_chat_format", chat.SQL)
 def _(spark, sf):
     return chat.format_chats(table(spark, sf, "conversations"))
+
+
+@_query("op2_decontamination", decontaminate.SQL)
+def _(spark, sf):
+    marked = decontaminate.contamination(
+        table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
+    return marked.drop("text", "spans")
+
+
+@_query("op6_token_files")
+def _(spark, sf):
+    return token_files.token_table(table(spark, sf, "documents"))
+
+
+@_query("op1_language_id")
+def _(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    model = language_id.fit(docs, ~held_out)
+    return language_id.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
+
+
+@_query("op9_simhash")
+def _(spark, sf):
+    return simhash.near_duplicates(table(spark, sf, "documents"))
