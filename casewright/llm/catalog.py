@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from casewright.llm import chat, decontaminate, exact_dedup, language_id, mixing, simhash, token_files
+from casewright.llm import chat, decontaminate, exact_dedup, language_id, mixing, secrets, simhash, token_files, toxicity
 from casewright.llm.common import fold, table
 from casewright.plans.registry import Entry
 
@@ -56,3 +56,17 @@ def _(spark, sf):
 @_query("op9_simhash")
 def _(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
+@_query("op8_toxicity")
+def _(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    model = toxicity.fit(docs, table(spark, sf, "labels"), ~held_out)
+    return toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
+
+
+@_query("op4_secret_scan")
+def _(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return secrets.scan(docs, secrets.fit(docs))
