@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from casewright.llm import chat, decontaminate, exact_dedup, language_id, mixing, secrets, simhash, token_files, toxicity
+from casewright.llm import chat, decontaminate, exact_dedup, language_id, language_model, mixing, secrets, simhash, token_files, toxicity
 from casewright.llm.common import fold, table
 from casewright.plans.registry import Entry
 
@@ -70,3 +70,8 @@ def _(spark, sf):
 def _(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return secrets.scan(docs, secrets.fit(docs))
+
+
+@_query("op10_language_model")
+def _(spark, sf):
+    return language_model.score(table(spark, sf, "documents"), fold(F.col("doc_id"), 7) == 2)
