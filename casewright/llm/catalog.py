@@ -55,7 +55,7 @@ def _(spark, sf):
 
 @_query("op9_simhash")
 def _(spark, sf):
-    return simhash.near_duplicates(table(spark, sf, "documents"))
+    return simhash.near_duplicates(table(spark, sf, "documents")).drop("root")
 
 
 @_query("op8_toxicity")

@@ -80,25 +80,32 @@ def _batches(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[p
         yield batch, [t or b"" for t in texts.to_pylist()]
 
 
-def _sample(docs: DataFrame, train: Column, id_col: str, text_col: str, lang_col: str, bound: int) -> DataFrame:
+def _sample(docs: DataFrame, train: Column, id_col: str, text_col: str, lang_col: str, bound: int,
+            max_languages: int) -> DataFrame:
     """At most ``bound`` labelled rows of each language: those of smallest identifier hash."""
     ticket = F.xxhash64(F.col(id_col), F.col(lang_col))
     known = docs.where(train & F.col(lang_col).isNotNull())
+    # Ranks are cut in every partition before the shuffle, and no text is in it.
     ranked = known.select(F.col(lang_col).alias("l"), ticket.alias("ticket")).withColumn(
         "place", F.row_number().over(Window.partitionBy("l").orderBy("ticket")))
     cut = ranked.where(F.col("place") <= bound).groupBy("l").agg(F.max("ticket").alias("cut"))
+    cuts = cut.limit(max_languages + 1).collect()
+    if len(cuts) > max_languages:
+        raise ValueError(f"more than {max_languages} languages; their centroids would not fit a task")
+    small = F.broadcast(docs.sparkSession.createDataFrame(cuts, "l string, cut long"))  # checked above
     rows = known.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), ticket.alias("ticket"))
-    return rows.join(cut, (F.col("lang") == F.col("l")) & (F.col("ticket") <= F.col("cut"))).where(
+    return rows.join(small, (F.col("lang") == F.col("l")) & (F.col("ticket") <= F.col("cut"))).where(
         F.col("text").isNotNull()).select("lang", "ticket", "text")
 
 
 def fit(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        per_language: int = 1500, clusters: int = 4, slack: float = 0.8, lowest: float = 0.001) -> Model | None:
+        per_language: int = 1500, clusters: int = 4, slack: float = 0.8, lowest: float = 0.001,
+        max_languages: int = 1000) -> Model | None:
     """Learn from rows where ``train`` holds and the language is known.
 
     The classifier is fitted on a bounded sample, at most ``per_language`` rows of each
     language. Each language's sample is vectorised in parallel and clustered in one task;
-    the driver gets ``clusters`` centroids of 16 KB per language. A rejection floor is the
+    the driver gets ``clusters`` centroids of 16 KB per language, of ``max_languages`` at most. A rejection floor is the
     ``lowest`` quantile, times ``slack``, of the best cosines of sample texts and of pieces
     of them, by length. None if there is nothing to learn from.
     """
@@ -124,7 +131,7 @@ def fit(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
                 names=["lang", "kind", "n_bytes", "at", "counts"])
 
     vectors = written(
-        _sample(docs, train, id_col, text_col, lang_col, per_language).mapInArrow(
+        _sample(docs, train, id_col, text_col, lang_col, per_language, max_languages).mapInArrow(
             vectorise, "lang string, kind int, n_bytes long, at array<int>, counts array<int>"), "lang-vectors")
     whole = vectors.where(F.col("kind") == len(_LENGTHS))
     n = whole.count()

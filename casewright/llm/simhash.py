@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -33,17 +33,18 @@ def fingerprint(text: bytes, width: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
-    """``doc_id, fp`` (a signed 64-bit integer) for every row; null texts have no words."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
+                 carry: Sequence[str] = ()) -> DataFrame:
+    """``doc_id, fp`` (a signed 64-bit integer) and the ``carry`` columns (not of these names)
+    for every row; null texts have no words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(t.as_py() or b"", width) for t in batch.column("text")], np.uint64)
+            fps = np.array([fingerprint(t.as_py() or b"", width) for t in batch.column(0)], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+                [*batch.columns[1:], pa.array(fps.view(np.int64))], names=[*batch.schema.names[1:], "fp"])
 
-    return docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text")
-    ).mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(text_col).cast("binary").alias("text_bytes"), F.col(id_col).cast("long").alias("doc_id"), *carry)
+    return rows.mapInArrow(run, ", ".join(f"`{n}` {t}" for n, t in rows.dtypes[1:]) + ", fp long")
 
 
 def _segment(fp: Column, at: int, bits: int) -> Column:
@@ -137,22 +138,23 @@ def components(links: DataFrame, most_rounds: int = 100) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
-                    segments: int = 8, crowd: int = 256) -> DataFrame:
-    """One row per input row: ``doc_id, fingerprint, component_id``.
+                    segments: int = 8, crowd: int = 256, carry: Sequence[str] = ()) -> DataFrame:
+    """One row per input row: ``doc_id, fingerprint, component_id, root`` and the ``carry`` columns.
 
     Documents of one fingerprint are one class (map-side counts and minima); only distinct
     fingerprints are compared, linked at two or fewer differing bits and joined to
     components. ``component_id`` is the smallest identifier reachable, itself included;
-    null identifiers count only if a component has no other. Texts without words (null,
-    empty or white space) have fingerprint zero and link like any other; repeated rows
-    give repeated rows; an empty table gives none; other columns are ignored.
+    null identifiers count only if a component has no other, and ``root``, a fingerprint,
+    tells components apart in any case. Texts without words (null, empty or white space)
+    have fingerprint zero and link like any other; repeated rows give repeated rows; an
+    empty table gives none; other columns are ignored.
     """
-    rows = written(fingerprints(docs, id_col, text_col, width), "simhash")
+    rows = written(fingerprints(docs, id_col, text_col, width, carry), "simhash")
     classes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes")
     roots = components(near_pairs(classes.select("fp"), segments=segments, crowd=crowd))
     rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(names, "root").select("fp", "component_id")
+    classes = rooted.join(names, "root").select("fp", "component_id", "root")
     return rows.join(classes, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root", *carry)
