@@ -59,7 +59,8 @@ def ratio(token: Column, model: Model) -> Column:
     return sums / F.greatest(F.length(token) - 1, F.lit(1))
 
 
-def fit(docs: DataFrame, text_col: str = "text", rows: int = 20_000, least: int = 1250, prior: float = 20.0) -> Model:
+def fit(docs: DataFrame, text_col: str = "text", rows: int = 20_000, least: int = 1000, prior: float = 20.0,
+        within: float = 0.9999) -> Model:
     """Train both models on a bounded sample of labelled strings.
 
     The sample are about ``rows`` documents, by a hash of their text. What the fixed
@@ -67,7 +68,8 @@ def fit(docs: DataFrame, text_col: str = "text", rows: int = 20_000, least: int
     labelled ordinary; each distinct string counts once. Counts of neighbouring characters
     (at most 128 x 128 of either label) are smoothed with ``prior`` observations: of the
     even alphabet for random strings, of single characters for ordinary ones. A missing
-    label leaves an even model.
+    label leaves an even model. The least ratio of a random token is ``least`` thousandths a
+    pair, or what the share ``within`` of ordinary strings stays below, if that is more.
     """
     n = docs.count()
     text = F.col(text_col)
@@ -79,10 +81,10 @@ def fit(docs: DataFrame, text_col: str = "text", rows: int = 20_000, least: int
         F.transform(_found(F.regexp_replace(text, f"{ASSIGN}|{ACCESS}|{HEX}", " "), TOKEN), lambda m: m["value"]).alias("other"),
     )
     assigned = F.filter("assigned", lambda v: F.length(v) >= _LEAST_ASSIGNED)
-    strings = values.select(F.explode(F.array(
+    strings = written(values.select(F.explode(F.array(
         F.struct(F.lit(1).alias("label"), F.concat(assigned, "fixed").alias("v")),
         F.struct(F.lit(0).alias("label"), F.col("other").alias("v")),
-    )).alias("s")).select("s.label", F.explode("s.v").alias("v")).distinct()
+    )).alias("s")).select("s.label", F.explode("s.v").alias("v")).distinct(), "secret-strings")
     counts = strings.select("label", F.explode(_pairs(F.col("v"))).alias("p")).groupBy("label", "p").count().collect()
 
     alphabet = [ord(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"]
@@ -99,7 +101,9 @@ def fit(docs: DataFrame, text_col: str = "text", rows: int = 20_000, least: int
             random = (seen.get((1, pair), 0) + prior / len(alphabet)) / (from_a[1, a] + prior)
             ordinary = (seen.get((0, pair), 0) + prior * single[b]) / (from_a[0, a] + prior)
             ratios[pair] = round(1000 * math.log(random / ordinary))
-    return Model(tuple(ratios), least)
+    model = Model(tuple(ratios), least)
+    most = strings.where("label = 0").agg(F.percentile(ratio(F.col("v"), model), F.lit(within))).first()[0]
+    return Model(model.ratios, max(least, math.floor(most or 0) + 1))
 
 
 def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
