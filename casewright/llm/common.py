@@ -29,6 +29,11 @@ def fold(key: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % parts
 
 
+def hash_cut(bound: int, count: int) -> int:
+    """The 64-bit hash up to which about ``bound`` of ``count`` rows lie."""
+    return min((1 << 63) - 1, (bound << 64) // max(1, count) - (1 << 63))
+
+
 def running_total(rows: DataFrame, order: Sequence[Column], value: str, out: str, purpose: str) -> DataFrame:
     """Add ``out``: the total of ``value`` up to and including each row in ``order``.
 

@@ -9,9 +9,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from casewright.llm.common import written
+from casewright.llm.common import hash_cut, written
 
 BUCKETS = 4096
 _SLICE = 1 << 20
@@ -82,20 +82,17 @@ def _batches(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[p
 
 def _sample(docs: DataFrame, train: Column, id_col: str, text_col: str, lang_col: str, bound: int,
             max_languages: int) -> DataFrame:
-    """At most ``bound`` labelled rows of each language: those of smallest identifier hash."""
-    ticket = F.xxhash64(F.col(id_col), F.col(lang_col))
-    known = docs.where(train & F.col(lang_col).isNotNull())
-    # Ranks are cut in every partition before the shuffle, and no text is in it.
-    ranked = known.select(F.col(lang_col).alias("l"), ticket.alias("ticket")).withColumn(
-        "place", F.row_number().over(Window.partitionBy("l").orderBy("ticket")))
-    cut = ranked.where(F.col("place") <= bound).groupBy("l").agg(F.max("ticket").alias("cut"))
-    cuts = cut.limit(max_languages + 1).collect()
-    if len(cuts) > max_languages:
+    """About ``bound`` labelled rows of each language, all if it has fewer: the share of
+    hashed identifiers that its count calls for. Nothing but counts is shuffled."""
+    known = docs.where(train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    counts = known.groupBy(F.col(lang_col).alias("l")).agg(F.count(F.lit(1)).alias("n")).limit(max_languages + 1).collect()
+    if len(counts) > max_languages:
         raise ValueError(f"more than {max_languages} languages; their centroids would not fit a task")
+    cuts = [(r["l"], hash_cut(bound, r["n"])) for r in counts]
     small = F.broadcast(docs.sparkSession.createDataFrame(cuts, "l string, cut long"))  # checked above
-    rows = known.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), ticket.alias("ticket"))
-    return rows.join(small, (F.col("lang") == F.col("l")) & (F.col("ticket") <= F.col("cut"))).where(
-        F.col("text").isNotNull()).select("lang", "ticket", "text")
+    rows = known.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
+                        F.xxhash64(F.col(id_col), F.col(lang_col)).alias("ticket"))
+    return rows.join(small, (F.col("lang") == F.col("l")) & (F.col("ticket") <= F.col("cut"))).select("lang", "ticket", "text")
 
 
 def fit(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -103,8 +100,8 @@ def fit(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
         max_languages: int = 1000) -> Model | None:
     """Learn from rows where ``train`` holds and the language is known.
 
-    The classifier is fitted on a bounded sample, at most ``per_language`` rows of each
-    language. Each language's sample is vectorised in parallel and clustered in one task;
+    The classifier is fitted on a bounded sample, about ``per_language`` rows of each
+    language by a hash of the identifier. Each language's sample is vectorised in parallel and clustered in one task;
     the driver gets ``clusters`` centroids of 16 KB per language, of ``max_languages`` at most. A rejection floor is the
     ``lowest`` quantile, times ``slack``, of the best cosines of sample texts and of pieces
     of them, by length. None if there is nothing to learn from.

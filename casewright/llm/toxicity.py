@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from casewright.llm.common import written
+from casewright.llm.common import hash_cut, written
 
 #: Bytes at the end of both dictionaries and before every window: both lengths then hold
 #: the fixed cost of a compressed block, and only the window itself makes a difference.
@@ -111,7 +111,7 @@ def _g2(a: Column, b: Column, n_a: int, n_b: int) -> Column:
     return 2 * (part(a, n_a) + part(b, n_b))
 
 
-def _cover(held: pd.DataFrame, n_docs: int, twice: int = 2, most: int = 64, least: float = 0.005) -> list[str]:
+def _cover(held: pd.DataFrame, n_docs: int, twice: int = 2, most: int = 64, least: float = 0.01) -> list[str]:
     """Strings that together occur ``twice`` in as many texts as possible.
 
     Greedy: the next string is the one that most texts with too few so far hold; of equals
@@ -151,15 +151,16 @@ def _calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int =
 
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "toxic", per_class: int = 4000, candidates: int = 5000) -> Model | None:
+        label_col: str = "toxic", per_class: int = 4000, candidates: int = 5000, odds: float = 8.0) -> Model | None:
     """Train on rows of ``labels`` where ``train`` (over ``id_col``) holds.
 
-    The classifier is fitted on a bounded sample: of each class the ``per_class`` labelled
-    identifiers of smallest hash (several labels of one identifier: the largest). Half of it
-    trains the dictionaries, half the calibration, which gives either class the same weight.
+    The classifier is fitted on a bounded sample: of each class about ``per_class`` labelled
+    identifiers, by hash (several labels of one identifier: the largest). Three
+    quarters of it train the dictionaries, the rest the calibration, which gives either class
+    the same weight.
 
-    Toxic dictionary: beginnings of words, and whole words, that significantly more toxic
-    than ordinary texts hold and that together cover the toxic ones; only the ``candidates``
+    Toxic dictionary: beginnings of words, and whole words, that a significantly larger
+    share (``odds`` times) of toxic than of ordinary texts hold and that together cover the toxic ones; only the ``candidates``
     most significant compete. Ordinary dictionary: the pieces of those strings that ordinary
     texts hold as well, so that both dictionaries shorten them alike. None if one of the
     classes is missing.
@@ -168,33 +169,36 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, id_col: str = "doc_id
         labels.where(train & F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
         .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("y"))
     )
-    ranked = known.withColumn("place", F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("id"), "id")))
-    ids = ranked.where(F.col("place") <= per_class).select("id", "y")
+    counts = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}  # two at most
+    cut = F.lit(None).cast("long")
+    for y, n in counts.items():
+        cut = F.when(F.col("y") == y, F.lit(hash_cut(per_class, n))).otherwise(cut)
+    ids = known.where(F.xxhash64("id") <= cut)
     rows = (
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text IS NOT NULL")
-        .join(F.broadcast(ids), "id")  # 2 * per_class identifiers at most
+        .join(F.broadcast(ids), "id")  # about 2 * per_class identifiers
         .groupBy("id", "y").agg(F.min("text").alias("text"))
     )
-    sample = written(rows.select("id", "y", "text", F.pmod(F.xxhash64(F.lit("half"), "id"), F.lit(2)).alias("half")),
+    sample = written(rows.select("id", "y", "text", (F.pmod(F.xxhash64(F.lit("part"), "id"), F.lit(4)) == 3).cast("int").alias("part")),
                      "toxic-sample")
-    sizes = {(r["half"], r["y"]): r["count"] for r in sample.groupBy("half", "y").count().collect()}
+    sizes = {(r["part"], r["y"]): r["count"] for r in sample.groupBy("part", "y").count().collect()}
     n_toxic, n_ordinary = sizes.get((0, 1), 0), sizes.get((0, 0), 0)
     if not all(sizes.get((h, y)) for h in (0, 1) for y in (0, 1)):
         return None
 
     # Beginnings of words, from four characters to a space after the last one.
-    words = sample.where("half = 0").select("id", "y", F.explode(F.array_distinct(F.split(F.lower("text"), r"[\x20\t-\r]+"))).alias("w"))
+    words = sample.where("part = 0").select("id", "y", F.explode(F.array_distinct(F.split(F.lower("text"), r"[\x20\t-\r]+"))).alias("w"))
     begun = words.where("length(w) >= 4").select("id", "y", F.explode(F.array_distinct(F.transform(
         F.sequence(F.lit(4), F.least(F.length("w") + 1, F.lit(13))), lambda n: F.substring(F.concat("w", F.lit(" ")), F.lit(1), n)
     ))).alias("s")).distinct()
     counts = begun.groupBy("s").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
     telling = written(
-        counts.where((F.col("a") >= max(3, 0.005 * n_toxic)) & (F.col("a") * n_ordinary > F.col("b") * n_toxic))
+        counts.where((F.col("a") >= max(3, 0.005 * n_toxic)) & (F.col("a") * n_ordinary > odds * (F.col("b") + 0.5) * n_toxic))
         .withColumn("g2", _g2(F.col("a"), F.col("b"), n_toxic, n_ordinary)).where("g2 >= 12")
         .orderBy(F.desc("g2"), "s").limit(candidates), "toxic-strings")
     docs_of = begun.where("y = 1").join(F.broadcast(telling.select("s")), "s")  # candidates rows at most
-    number = Window.orderBy("id")  # over at most per_class identifiers
-    held = docs_of.join(F.broadcast(sample.where("half = 0 AND y = 1").select(
+    number = Window.orderBy("id")  # over about per_class identifiers
+    held = docs_of.join(F.broadcast(sample.where("part = 0 AND y = 1").select(
         "id", (F.row_number().over(number) - 1).alias("doc"))), "id").select("s", "doc").toPandas()
     toxic = tuple(b" " + s.encode() for s in _cover(held, n_toxic) if "\0" not in s)
 
@@ -211,7 +215,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, id_col: str = "doc_id
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], names=["p", "n"])
 
-    seen = [bytes(r["p"]) for r in sample.where("half = 0 AND y = 0").select("text").mapInArrow(
+    seen = [bytes(r["p"]) for r in sample.where("part = 0 AND y = 0").select("text").mapInArrow(
         holds, "p binary, n long").groupBy("p").agg(F.sum("n").alias("n")).where("n >= 2").collect()]
     seen = sorted(p for p in seen if p not in toxic)
     ordinary = tuple(p for p in seen if not any(p != o and p in o for o in seen))
@@ -223,7 +227,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, id_col: str = "doc_id
             yield pa.RecordBatch.from_arrays(
                 [batch.column("y"), pa.array([list(r) for r in rows], pa.list_(pa.float64()))], names=["y", "x"])
 
-    half = sample.where("half = 1").select(F.col("y").cast("int").alias("y"), "text").mapInArrow(
+    half = sample.where("part = 1").select(F.col("y").cast("int").alias("y"), "text").mapInArrow(
         gains, "y int, x array<double>").toPandas()
     mean, scale, weights, bias = _calibrate(np.array(half["x"].tolist()), half["y"].to_numpy())
     return Model(toxic, ordinary, tuple(mean), tuple(scale), tuple(weights), bias)
