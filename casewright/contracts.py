@@ -7,10 +7,15 @@ elsewhere and reads these tables.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import types as T
 
+#: Values of the source that are kept apart as plain data.
+WIRE_VALUES = json.loads(Path(__file__).with_name("wire_values.json").read_text())
+
 
 @dataclass(frozen=True)
 class Field:
@@ -18,13 +23,15 @@ class Field:
 
     ``kind`` selects the conformance rule: ``text``, ``any``, ``int``, ``yes_no``,
     ``office``, ``iso_time`` or ``action_time``. ``nullable`` says whether a JSON null
-    is accepted; the key itself is always required.
+    is accepted; the key itself is always required. ``late`` fields are not carried by
+    newly registered (status 0) tickets.
     """
 
     name: str
     wire: str
     kind: str
     nullable: bool
+    late: bool = False
 
 
 # --- Fixed values: wire contract of the complaint record (misspellings included) ------
@@ -33,8 +40,8 @@ COMPLAINT_FIELDS: tuple[Field, ...] = (
     Field("petitioner_name", "petitionerName", "text", True),
     Field("petitioner_mobile", "petitionerMobile", "text", True),
     Field("petitioner_email", "petitionerEmail", "text", True),
-    Field("grievance", "grievanceSubject", "text", False),
-    Field("document_url", "Document", "text", False),
+    Field("complaint_text", WIRE_VALUES["complaint_text_key"], "text", False),
+    Field("document_url", "Document", "text", False, late=True),
     Field("office", "officeNAme", "office", False),
     Field("received_by", "RecievedByOfficerName", "text", False),
     Field("district", "districtName", "text", False),
@@ -55,12 +62,12 @@ COMPLAINT_FIELDS: tuple[Field, ...] = (
     Field("petitioner_gender", "genderName", "text", False),
     Field("transfer_status", "transferStatus", "text", False),
     Field("urgent", "mostUrgent", "text", False),
-    Field("pending_with", "pendingwithName", "text", True),
-    Field("assigned_on", "assignedOn", "iso_time", False),
-    Field("escalation_date", "escalationDate", "iso_time", True),
-    Field("self_assign", "isSelfAssign", "text", True),
-    Field("resolved_on", "ResolvedOn", "iso_time", True),
-    Field("benefitted", "benefitted", "text", True),
+    Field("pending_with", "pendingwithName", "text", True, late=True),
+    Field("assigned_on", "assignedOn", "iso_time", False, late=True),
+    Field("escalation_date", "escalationDate", "iso_time", True, late=True),
+    Field("self_assign", "isSelfAssign", "text", True, late=True),
+    Field("resolved_on", "ResolvedOn", "iso_time", True, late=True),
+    Field("benefitted", "benefitted", "text", True, late=True),
 )
 
 DISTRICT_FIELDS: tuple[Field, ...] = (
@@ -96,7 +103,7 @@ OFFICE_MATCH_CUTOFF = 0.6
 # --- Fixed values: recodes ------------------------------------------------------------
 CHANNEL_MODES = {
     "online": ("Website", "Whatsapp", "Mobile"),
-    "offline": ("Joint Hearing", "Physical", "CM Weekly Grievance"),
+    "offline": ("Joint Hearing", "Physical", WIRE_VALUES["weekly_mode"]),
     "freetext": ("Letter", "Email"),
 }
 GENERAL_CATEGORIES = ("General", "Miscellaneous")
@@ -111,6 +118,7 @@ TOPIC_KEYWORDS = (
 )
 TOPIC_DEFAULT = "Other"
 
+# --- Fixed values: action statuses ------------------------------------------------------
 ACTION_STATUSES = (
     "Complaint Assigned",
     "Complaint Pullback",
@@ -125,6 +133,7 @@ ACTION_STATUSES = (
 )
 FORWARDING_STATUSES = ("Complaint Register", "Forward", "Forwarded To Subordinate")
 
+# --- Fixed values: defaults and name patterns ------------------------------------------
 DEFAULT_AS_OF = "2025-06-22"
 SOURCE_TIME_ZONE = "Asia/Kolkata"
 TICKET_IN_NAME = r"([A-Z]{2,4}[0-9]*)(_compliant)*"
@@ -165,7 +174,7 @@ COMPLAINT_SCHEMA = T.StructType(
     + [
         T.StructField("local_document_path", T.StringType()),
         T.StructField("document_downloaded", T.BooleanType()),
-        T.StructField("document_download_date", T.TimestampType()),
+        T.StructField("document_download_date", T.TimestampNTZType()),
         T.StructField("document_download_error", T.StringType()),
     ]
 )
@@ -211,6 +220,4 @@ UNIQUE_KEYS = {
 }
 
 # Columns of the analysis table that newly registered (status 0) tickets carry.
-UNASSIGNED_COLUMNS = tuple(
-    f.name for f in COMPLAINT_FIELDS[:26] if f.name != "document_url"
-)
+UNASSIGNED_COLUMNS = tuple(f.name for f in COMPLAINT_FIELDS if not f.late)

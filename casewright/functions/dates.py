@@ -69,12 +69,17 @@ def local_to_utc(naive, zone: str) -> Column:
 
 # --- lax parsing of source strings ------------------------------------------------------
 
-_READABLE = (
-    r"^(\d{8}"  # compact date
-    r"|\d{4}-\d{2}-\d{2}(.\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?(Z|[+-]\d{2}:?\d{2})?)?"  # ISO
-    r"|\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2})$"  # one-digit parts
+#: Full date and time in the usual form; read by the built-in cast.
+_USUAL = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}$"
+#: ISO dates and date-times, extended or compact in either part. Groups: year, month and
+#: day (2), hour, then minute, second and fraction (2), offset.
+_ISO = (
+    r"^(\d{4})(?:-(\d{2})-(\d{2})|(\d{2})(\d{2}))"
+    r"(?:.(\d{2})(?::(\d{2})(?::(\d{2})(?:[.,](\d+))?)?|(\d{2})(?:(\d{2})(?:[.,](\d+))?)?)?"
+    r"(Z|[+-](?:[01]\d|2[0-3])(?::?[0-5]\d(?::?[0-5]\d(?:[.,]\d+)?)?)?)?)?$"
 )
-_OFFSET = r"^.{11,}(Z|[+-]\d{2}:?\d{2})$"
+_PARTS = "$1-$2$4-$3$5|$6|$7$10|$8$11|$9$12|$13"
+_ONE_DIGIT = r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}$"
 _ACTION = r"^\s*(\d{1,2})-([A-Za-z]{3})-(\d{4})\s+(\d{1,2}):(\d{1,2})\s+([AaPp][Mm])\s*$"
 
 # --- Fixed values: English month abbreviations ---
@@ -84,20 +89,34 @@ _MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct",
 def parse_iso(text) -> Column:
     """ISO date or date-time as a naive timestamp; anything else gives null.
 
-    Accepted: ``2024-06-01``, ``20240601``, a date and a time with any one separator
-    character, optional fraction and offset, and one-digit parts in a full
-    ``2024-6-1T1:2:3``. An offset is applied, so the result is UTC wall time.
+    Date and time are each extended (``2024-06-01``, ``12:00:00``) or compact
+    (``20240601``, ``120000``), with any one separator character; minutes, seconds, fraction
+    (cut to microseconds) and offset (``Z``, ``+05``, ``+0530``, ``+05:30``, with seconds)
+    may be left out. One-digit parts are read in a full ``2024-6-1T1:2:3``. An offset is
+    subtracted, so the result is UTC wall time whatever the session zone. Not read: week
+    dates (``2024-W22-6``), ordinal dates and hour 24.
     """
     text = as_column(text)
-    readable = F.when(text.rlike(_READABLE), text)
-    plain = F.regexp_replace(readable, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
-    plain = F.regexp_replace(plain, r"^(\d{4}-\d{1,2}+-\d{1,2}+).(.*)$", "$1T$2")
-    plain = F.regexp_replace(plain, r"^(.{13})(Z|[+-].*)?$", "$1:00$2")  # hour without minutes
-    plain = F.replace(plain, F.lit(","), F.lit("."))
-    instant_utc = F.convert_timezone(
-        F.current_timezone(), F.lit("UTC"), plain.try_cast("timestamp").cast("timestamp_ntz")
+    parts = F.split(F.regexp_replace(text, _ISO, _PARTS), r"\|")
+
+    def part(i: int) -> Column:
+        return F.try_element_at(parts, F.lit(i))
+
+    def two(i: int) -> Column:
+        return F.when(part(i) == "", F.lit("00")).otherwise(part(i))
+
+    micros = F.rpad(F.substring(part(5), 1, 6), 6, "0")
+    wall = F.concat(part(1), F.lit(" "), two(2), F.lit(":"), two(3), F.lit(":"), two(4), F.lit("."), micros)
+    digits = F.rpad(F.substring(F.regexp_replace(part(6), "[Z:+-]", ""), 1, 6), 6, "0")
+    seconds = sum(
+        F.substring(digits, at, 2).cast("int") * weight for at, weight in ((1, 3600), (3, 60), (5, 1))
+    )
+    seconds = F.when(F.startswith(part(6), F.lit("-")), -seconds).otherwise(seconds)
+    naive = F.timestamp_add("SECOND", -seconds, wall.try_cast("timestamp_ntz"))
+    return (
+        F.when(text.rlike(_USUAL) | text.rlike(_ONE_DIGIT), text.try_cast("timestamp_ntz"))
+        .when(text.rlike(_ISO), naive)
     )
-    return F.when(text.rlike(_OFFSET), instant_utc).otherwise(plain.try_cast("timestamp_ntz"))
 
 
 def _pick(text: Column, group: int) -> Column:

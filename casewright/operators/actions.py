@@ -9,13 +9,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from casewright import contracts as C
 from casewright.functions import dates, numbers as num
 from casewright.operators.reports import counts
-from casewright.operators.spread import split_join
+
+
+OTHER = "Other"
 
 
 def actions_for(actions: DataFrame, tickets: DataFrame) -> DataFrame:
     """Actions of the listed tickets (any listing, duplicates allowed)."""
     wanted = tickets.select("ticket_no").where(F.col("ticket_no").isNotNull()).distinct()
-    return split_join(actions, wanted, ["ticket_no"], "left_semi")
+    return actions.join(wanted, "ticket_no", "left_semi").select(*actions.columns)
 
 
 def distinct_tickets(actions: DataFrame) -> DataFrame:
@@ -23,7 +25,7 @@ def distinct_tickets(actions: DataFrame) -> DataFrame:
 
 
 def remark_counts(actions: DataFrame) -> DataFrame:
-    return counts(actions, "action_taken_remark")
+    return counts(actions, "action_taken_remark", ordered=False)
 
 
 def distinct_statuses(actions: DataFrame) -> DataFrame:
@@ -34,9 +36,18 @@ def _is(status: str) -> Column:
     return F.coalesce(F.col("action_status") == status, F.lit(False))
 
 
+def _is_other(statuses) -> Column:
+    return ~F.coalesce(F.col("action_status").isin(*statuses), F.lit(False))
+
+
+def status_counts(actions: DataFrame) -> DataFrame:
+    """How often each status occurs, whatever it is."""
+    return counts(actions, "action_status", keep_nulls=True)
+
+
 def with_status_flags(actions: DataFrame, statuses=C.ACTION_STATUSES) -> DataFrame:
-    """One boolean column per status."""
-    return actions.withColumns({s: _is(s) for s in statuses})
+    """One boolean column per status, and ``Other`` for any status that is not listed."""
+    return actions.withColumns({s: _is(s) for s in statuses} | {OTHER: _is_other(statuses)})
 
 
 def flagged(actions: DataFrame, status: str) -> DataFrame:
@@ -44,10 +55,10 @@ def flagged(actions: DataFrame, status: str) -> DataFrame:
 
 
 def status_tokens(actions: DataFrame, statuses=C.ACTION_STATUSES) -> DataFrame:
-    """How often each status occurs per ticket."""
+    """How often each status, and any other one, occurs per ticket."""
     return (
         actions.where(F.col("ticket_no").isNotNull()).groupBy("ticket_no")
-        .agg(*[F.count_if(_is(s)).alias(s) for s in statuses])
+        .agg(*[F.count_if(_is(s)).alias(s) for s in statuses], F.count_if(_is_other(statuses)).alias(OTHER))
     )
 
 
@@ -73,7 +84,7 @@ def token_sum_distribution(actions: DataFrame) -> DataFrame:
 def busy_ticket_actions(actions: DataFrame, more_than: int = 7) -> DataFrame:
     """All actions of tickets with more than so many counted actions."""
     busy = with_token_sum(status_tokens(actions)).where(F.col("sum") > more_than)
-    return split_join(actions, busy.select("ticket_no"), ["ticket_no"], "left_semi")
+    return actions.join(busy.select("ticket_no"), "ticket_no", "left_semi").select(*actions.columns)
 
 
 def forwarding_times(actions: DataFrame) -> DataFrame:

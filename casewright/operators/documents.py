@@ -80,7 +80,7 @@ def pending_tickets(complaints: DataFrame, listing: DataFrame) -> DataFrame:
     return wanted.join(stored.distinct(), "ticket_no", "left_anti")
 
 
-def first_pending(pending: DataFrame, count: int = 50_000) -> DataFrame:
+def first_pending(pending: DataFrame, count: int) -> DataFrame:
     """A work list of at most ``count`` tickets, the lowest ticket numbers first."""
     return pending.orderBy("ticket_no").limit(count)
 

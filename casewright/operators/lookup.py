@@ -8,15 +8,15 @@ from casewright.functions import text as tx
 
 
 def district_by_id(districts: DataFrame, dist_id: int) -> DataFrame:
-    return districts.where(F.col("dist_id") == dist_id).limit(1)
+    return districts.where(F.col("dist_id") == dist_id).orderBy("dist_name").limit(1)
 
 
 def district_by_name(districts: DataFrame, name: str) -> DataFrame:
-    return districts.where(F.col("dist_name") == name).limit(1)
+    return districts.where(F.col("dist_name") == name).orderBy("dist_id").limit(1)
 
 
 def complaint_by_ticket(complaints: DataFrame, ticket: str) -> DataFrame:
-    return complaints.where(F.col("ticket_no") == ticket).limit(1)
+    return complaints.where(F.col("ticket_no") == ticket).orderBy(*complaints.columns).limit(1)
 
 
 def complaints_by_district(complaints: DataFrame, district: str) -> DataFrame:
@@ -67,9 +67,9 @@ def tickets_where(tickets: DataFrame, *, modes=None, office=None, status_id=None
     if benefitted is not None:
         tickets = tickets.where(F.col("benefitted") == benefitted)
     if contains is not None:
-        tickets = tickets.where(tx.contains_any("grievance", contains))
+        tickets = tickets.where(tx.contains_any("complaint_text", contains))
     if contains_none is not None:
-        tickets = tickets.where(tx.contains_none("grievance", contains_none))
+        tickets = tickets.where(tx.contains_none("complaint_text", contains_none))
     return tickets
 
 

@@ -2,7 +2,7 @@
 
 A merge returns the whole next table with an ``action`` column (``insert``, ``update``,
 ``noop`` for a batch row that changes nothing, ``kept`` for rows the batch does not
-mention). Write it as the next snapshot, or keep the first two actions as the delta.
+mention). The first two are the delta.
 Batches are reduced to one row per key before the join: the rank filter runs on the map
 side first, so copies of one key never meet in a single task.
 """
@@ -36,10 +36,13 @@ def changed(merged: DataFrame) -> DataFrame:
 
 
 def merge(existing: DataFrame, incoming: DataFrame, keys, update_columns, *,
-          insert_defaults: dict[str, object] | None = None,
-          update_when: Column | bool = True, insert_new: bool = True) -> DataFrame:
+          insert_defaults: dict[str, object] | None = None, update_when: Column | bool = True,
+          insert_new: bool = True, whole: bool = True) -> DataFrame:
     """Merge ``incoming`` (one row per key) into ``existing`` on non-null ``keys``.
 
+    ``whole=False`` leaves out the rows that the batch does not mention: the batch is then
+    the outer side, and the table need not be shuffled where the batch is small.
+
     ``update_columns`` are overwritten, null values included; other columns of
     ``existing`` are kept and take ``insert_defaults`` on new rows. ``update_when``
     false leaves matched rows alone.
@@ -49,9 +52,11 @@ def merge(existing: DataFrame, incoming: DataFrame, keys, update_columns, *,
     new = incoming.select(
         *keys, F.struct(*update_columns).alias("_new"), F.lit(True).alias("_in")
     )
-    joined = existing.withColumn("_ex", F.lit(True)).join(
-        new, keys, "full_outer" if insert_new else "left"
-    )
+    table = existing.withColumn("_ex", F.lit(True))
+    if whole:
+        joined = table.join(new, keys, "full_outer" if insert_new else "left")
+    else:
+        joined = new.join(table, keys, "left" if insert_new else "inner")
     in_table = F.col("_ex").isNotNull()
     in_batch = F.col("_in").isNotNull()
     allowed = F.lit(update_when) if isinstance(update_when, bool) else update_when
@@ -111,19 +116,24 @@ def load_districts(existing: DataFrame, batch: DataFrame, seq: str = "ingest_seq
 # --- complaints ----------------------------------------------------------------------------
 
 
-def merge_complaints(existing: DataFrame, batch: DataFrame, seq: str = "ingest_seq") -> DataFrame:
+def merge_complaints(existing: DataFrame, batch: DataFrame, seq: str = "ingest_seq",
+                     whole: bool = True) -> DataFrame:
     """All source fields are overwritten, document columns survive, last row wins.
 
-    Serves the single, batch and bulk loads: ``changed()`` of the result is what the
-    bulk load reports (unchanged rows excluded).
+    Serves the single, batch and bulk loads.
     """
     return merge(
         existing, last_in_batch(batch, ["ticket_no"], seq), ["ticket_no"],
         [c for c in _COMPLAINT_COLUMNS if c != "ticket_no"],
-        insert_defaults={"document_downloaded": False},
+        insert_defaults={"document_downloaded": False}, whole=whole,
     )
 
 
+def changed_complaints(existing: DataFrame, batch: DataFrame, seq: str = "ingest_seq") -> DataFrame:
+    """What the bulk load reports: inserted and updated tickets, unchanged ones excluded."""
+    return changed(merge_complaints(existing, batch, seq, whole=False))
+
+
 # --- action history ------------------------------------------------------------------------
 
 _ACTION_COLUMNS = tuple(f.name for f in C.ACTION_FIELDS)
@@ -148,37 +158,55 @@ def append_actions(existing: DataFrame, batch: DataFrame, seq: str = "ingest_seq
     )
 
 
+def _loaded(existing: DataFrame, batch: DataFrame, seq: str) -> DataFrame:
+    """Stored and new actions with ``action``: kept, gone, insert or update, and ``seq``.
+
+    One union of both sides: a count by the five-part key decides what is new, a count by
+    (ticket, date) what replaces what. Both combine on the map side. The mark joins by a
+    hash of the other columns as well, so the rows of a crowded slot, or of a ticket
+    without any dates, spread over the cluster.
+    """
+    slot = ["ticket_no", "action_taken_date"]
+    stored = existing.select(*_ACTION_COLUMNS, F.lit(0).alias("_src"), F.lit(None).cast("long").alias("_seq"))
+    new = batch.select(*_ACTION_COLUMNS, F.lit(1).alias("_src"), F.col(seq).cast("long").alias("_seq"))
+    # Stored rows come before new ones, then the first by sequence, nulls last.
+    rank = F.struct("_src", F.col("_seq").isNull().alias("_late"), "_seq", "action_taken_date")
+    rows = (
+        stored.unionByName(new).groupBy(*C.ACTION_KEY).agg(F.min(rank).alias("_first"))
+        .select(*C.ACTION_KEY, "_first.action_taken_date", "_first._src", "_first._seq")
+        .withColumn("_row", F.xxhash64(*[c for c in _ACTION_COLUMNS if c not in slot]))
+    )
+
+    def only(src: int) -> Column:
+        return F.max(F.when(F.col("_src") == src, F.struct("_row", "_seq")))
+
+    lone = (
+        rows.where(F.col("action_taken_date").isNotNull()).groupBy(*slot)
+        .agg(F.count_if(F.col("_src") == 0).alias("_old"), F.count_if(F.col("_src") == 1).alias("_new"),
+             only(0).alias("_stored"), only(1).alias("_arrived"))
+        .where("_old = 1 AND _new = 1")
+    )
+    marks = lone.select(*slot, F.explode(F.array(
+        F.struct(F.col("_stored._row").alias("_row"), F.lit("gone").alias("_mark"), F.col("_arrived._seq").alias("_by")),
+        F.struct(F.col("_arrived._row").alias("_row"), F.lit("update").alias("_mark"), F.col("_arrived._seq").alias("_by")),
+    )).alias("m")).select(*slot, "m.*")
+    default = F.when(F.col("_src") == 0, F.lit("kept")).otherwise(F.lit("insert"))
+    return rows.join(marks, [*slot, "_row"], "left").select(
+        *_ACTION_COLUMNS, F.coalesce("_mark", default).alias("action"), F.coalesce("_by", "_seq").alias("_seq"))
+
+
 def load_actions(existing: DataFrame, batch: DataFrame, seq: str = "ingest_seq") -> DataFrame:
-    """Bulk load of action histories.
+    """Bulk load of action histories; ``existing`` is unique on the five-part key.
 
     The five-part key decides what is new. A new row that carries a date shared with
     exactly one stored and one new row of its ticket replaces that stored row; every
     other new row is inserted. Rows without date are only ever inserted.
-
-    Slots (ticket, date) are only counted, which combines on the map side. All joins add
-    a hash of the other columns to the slot, so the rows of a crowded slot, or of a
-    ticket without any dates, spread over the cluster. The hash decides nothing: a slot
-    that is replaced holds one row on either side.
     """
-    slot = ["ticket_no", "action_taken_date"]
-    rest = F.xxhash64(*[c for c in _ACTION_COLUMNS if c not in slot])
-    stored = existing.select(*_ACTION_COLUMNS, rest.alias("_row"))
-    new = new_actions(existing, batch, seq).withColumn("_row", rest)
-
-    def lone_slots(rows: DataFrame, row: str) -> DataFrame:
-        return (
-            rows.where(F.col("action_taken_date").isNotNull()).groupBy(*slot)
-            .agg(F.count("*").alias("_n"), F.min("_row").alias(row))
-            .where("_n = 1").drop("_n")
-        )
-
-    replaced = lone_slots(new, "_new").join(lone_slots(stored, "_old"), slot)
-    gone = replaced.select(*slot, F.col("_old").alias("_row"))
-    arrived = replaced.select(*slot, F.col("_new").alias("_row"), F.lit(True).alias("_hit"))
-    by_row = [*slot, "_row"]
-    kept = stored.join(gone, by_row, "left_anti").withColumn("action", F.lit("kept"))
-    loaded = new.join(arrived, by_row, "left").withColumn(
-        "action", F.when(F.col("_hit"), F.lit("update")).otherwise(F.lit("insert"))
-    )
-    columns = [*_ACTION_COLUMNS, "action"]
-    return kept.select(*columns).unionByName(loaded.select(*columns))
+    return _loaded(existing, batch, seq).where("action != 'gone'").drop("_seq")
+
+
+def action_changes(existing: DataFrame, batch: DataFrame, seq: str = "ingest_seq") -> DataFrame:
+    """The rows that :func:`load_actions` adds, and with ``gone`` those that it replaces;
+    both carry ``seq`` of the new row."""
+    return _loaded(existing, batch, seq).where("action != 'kept'").select(
+        *_ACTION_COLUMNS, F.col("_seq").alias(seq), (F.col("action") == "gone").alias("gone"))

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from casewright.functions import dates, numbers as num
 from casewright.operators.reports import counts
-from casewright.operators.spread import split_join
 
 
 def duplicate_rows(table: DataFrame, *keys: str) -> DataFrame:
@@ -96,26 +95,33 @@ def month_counts(tickets: DataFrame) -> DataFrame:
 # --- repeated texts --------------------------------------------------------------------------------
 
 
+def _by_text(tickets: DataFrame, *keys: str, carry: bool = False) -> DataFrame:
+    """Rows ``n`` and ``length`` per text (and keys); ``carry`` brings the text along.
+
+    Texts are compared by SHA-256 and length, so they are no shuffle keys; a carried one
+    moves once per task and group. A null text is a group of its own.
+    """
+    text = F.col("complaint_text")
+    texts = [F.any_value(text).alias("complaint_text")] if carry else []
+    return tickets.groupBy(
+        *keys, F.unhex(F.sha2(text, 256)).alias("digest"), F.length(text).alias("length")
+    ).agg(F.count("*").alias("n"), *texts)
+
+
 def text_flags(tickets: DataFrame, more_than: int = 10, longer_than: int = 10) -> DataFrame:
     """Counts by (mode, text) with length and the repeated and classified flags."""
-    grouped = counts(tickets, "mode", "grievance")
-    return grouped.withColumns({
-        "repeated_grievance": F.col("count") > more_than,
-        "length": F.length("grievance"),
-    }).withColumn(
-        "classified_grievance", (F.col("length") > longer_than) & F.col("repeated_grievance")
+    known = tickets.where(F.col("mode").isNotNull() & F.col("complaint_text").isNotNull())
+    grouped = _by_text(known, "mode", carry=True).select("mode", "complaint_text", F.col("n").alias("count"), "length")
+    return grouped.withColumn("repeated_text", F.col("count") > more_than).withColumn(
+        "classified_text", (F.col("length") > longer_than) & F.col("repeated_text")
     )
 
 
 def _flagged_share(tickets: DataFrame, flag: str, more_than: int, longer_than: int) -> DataFrame:
     """Per mode: rows whose text is flagged, all rows, percent (modes with none left out)."""
-    texts = (
-        tickets.where(F.col("mode").isNotNull())
-        .groupBy("mode", "grievance").agg(F.count("*").alias("n"))
-    )
-    known = F.col("grievance").isNotNull()
-    repeated = known & (F.col("n") > more_than)
-    condition = repeated & (F.length("grievance") > longer_than) if flag == "classified" else repeated
+    texts = _by_text(tickets.where(F.col("mode").isNotNull()), "mode")
+    repeated = F.col("digest").isNotNull() & (F.col("n") > more_than)
+    condition = repeated & (F.col("length") > longer_than) if flag == "classified" else repeated
     flagged = F.sum(F.when(condition, F.col("n")))
     return (
         texts.groupBy("mode")
@@ -135,24 +141,22 @@ def classified_share(tickets: DataFrame, more_than: int = 10, longer_than: int =
 
 
 def lowered(tickets: DataFrame) -> DataFrame:
-    return tickets.withColumn("grievance", F.lower("grievance"))
+    return tickets.withColumn("complaint_text", F.lower("complaint_text"))
 
 
 def distinct_texts(tickets: DataFrame) -> DataFrame:
-    """Lower-cased texts with count and length, most frequent first."""
-    return counts(lowered(tickets), "grievance").withColumn("length", F.length("grievance"))
+    """Lower-cased texts with count and length."""
+    texts = _by_text(lowered(tickets).where(F.col("complaint_text").isNotNull()), carry=True)
+    return texts.select("complaint_text", F.col("n").alias("count"), "length")
 
 
 def distinct_text_totals(tickets: DataFrame, shorter_than: int = 100) -> DataFrame:
     """How many distinct texts there are, and rows with short and with repeated ones."""
-    texts = (
-        lowered(tickets).where(F.col("grievance").isNotNull())
-        .groupBy("grievance").agg(F.count("*").alias("n"))
-    )
+    texts = _by_text(lowered(tickets).where(F.col("complaint_text").isNotNull()))
     n = F.col("n")
     return texts.agg(
         F.count("*").alias("distinct_texts"),
-        F.coalesce(F.sum(F.when(F.length("grievance") < shorter_than, n)), F.lit(0)).alias("short_rows"),
+        F.coalesce(F.sum(F.when(F.col("length") < shorter_than, n)), F.lit(0)).alias("short_rows"),
         F.coalesce(F.sum(F.when(n > 1, n)), F.lit(0)).alias("repeated_rows"),
     )
 
@@ -161,7 +165,8 @@ def mode_texts(tickets: DataFrame, mode: str | None = None, only: str | None = N
     """Counts of lower-cased texts by mode; ``only`` picks ``repeated`` or ``single``."""
     if mode is not None:
         tickets = tickets.where(F.col("mode") == mode)
-    texts = counts(lowered(tickets), "mode", "grievance")
+    known = lowered(tickets).where(F.col("mode").isNotNull() & F.col("complaint_text").isNotNull())
+    texts = _by_text(known, "mode", carry=True).select("mode", "complaint_text", F.col("n").alias("count"))
     if only == "repeated":
         return texts.where("count > 1")
     return texts.where("count = 1") if only == "single" else texts
@@ -169,10 +174,8 @@ def mode_texts(tickets: DataFrame, mode: str | None = None, only: str | None = N
 
 def mode_text_summary(tickets: DataFrame) -> DataFrame:
     """Per mode: rows, distinct texts, repeated distinct texts, percent of rows repeated."""
-    texts = (
-        lowered(tickets).where(F.col("mode").isNotNull() & F.col("grievance").isNotNull())
-        .groupBy("mode", "grievance").agg(F.count("*").alias("n"))
-    )
+    texts = _by_text(
+        lowered(tickets).where(F.col("mode").isNotNull() & F.col("complaint_text").isNotNull()), "mode")
     n = F.col("n")
     repeated = F.coalesce(F.sum(F.when(n > 1, n)), F.lit(0))
     return texts.groupBy("mode").agg(
@@ -202,13 +205,13 @@ def heavy_senders(tickets: DataFrame, mode: str, more_than: int = 10) -> DataFra
 
 
 def repeat_sender_rows(tickets: DataFrame, mode: str) -> DataFrame:
-    """All tickets of a mode whose sender sent more than one, by sender and time."""
+    """All tickets of a mode whose sender sent more than one; each partition by sender and
+    time (a global order would sort all rows for no one to read)."""
     rows = tickets.where(F.col("mode") == mode)
     repeat = (
         rows.where(F.col("petitioner_mobile").isNotNull())
         .groupBy("petitioner_mobile").agg(F.count("*").alias("_n"))
         .where("_n > 1").drop("_n")
     )
-    return split_join(rows, repeat, ["petitioner_mobile"], "left_semi").orderBy(
-        "petitioner_mobile", F.col("created_on").asc_nulls_last(), "ticket_no"
-    )
+    return rows.join(repeat, "petitioner_mobile", "left_semi").select(*rows.columns).sortWithinPartitions(
+        "petitioner_mobile", F.col("created_on").asc_nulls_last(), "ticket_no")

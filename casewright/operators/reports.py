@@ -7,10 +7,11 @@ unless a function says otherwise.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from casewright import contracts as C
 from casewright.functions import dates, numbers as num, text as tx
@@ -20,7 +21,6 @@ from casewright.sources.landing import union_batches
 Instant = Column | str | datetime
 DISPOSE_DAYS = "days_to_dispose"
 CHANNELS = tuple(C.CHANNEL_MODES)
-MAX_PIVOT_VALUES = 10_000
 
 
 # --- the analysis table ----------------------------------------------------------------------
@@ -68,11 +68,12 @@ def _grouped(tickets: DataFrame, *keys: str):
 # --- counts and shares -------------------------------------------------------------------------
 
 
-def counts(table: DataFrame, *keys: str, keep_nulls: bool = False) -> DataFrame:
-    """Rows per key, most frequent first."""
+def counts(table: DataFrame, *keys: str, keep_nulls: bool = False, ordered: bool = True) -> DataFrame:
+    """Rows per key, most frequent first; ``ordered=False`` where keys are unbounded."""
     grouped = table.groupBy(*keys) if keep_nulls else _grouped(table, *keys)
+    counted = grouped.agg(F.count("*").alias("count"))
     order = [F.col("count").desc(), *[F.col(k).asc_nulls_last() for k in keys]]
-    return grouped.agg(F.count("*").alias("count")).orderBy(*order)
+    return counted.orderBy(*order) if ordered else counted
 
 
 def share(table: DataFrame, key: str, digits: int | None = 1, keep_nulls: bool = False) -> DataFrame:
@@ -223,12 +224,12 @@ def with_topic(tickets: DataFrame) -> DataFrame:
     """Tickets with merged categories and the keyword topic of their text."""
     return tickets.withColumns({
         "category": tx.merged_category("category"),
-        "grievance_category": tx.topic_of("grievance"),
+        "topic": tx.topic_of("complaint_text"),
     })
 
 
 def english_with_topic(tickets: DataFrame) -> DataFrame:
-    return with_topic(tickets.where(tx.is_mostly_ascii("grievance")))
+    return with_topic(tickets.where(tx.is_mostly_ascii("complaint_text")))
 
 
 def category_overview(tickets: DataFrame) -> DataFrame:
@@ -245,7 +246,7 @@ def topic_mix(tickets: DataFrame, category: str, dept: str) -> DataFrame:
     """Topics among mostly English tickets of one category and department."""
     picked = tickets.where(F.col("dept") == dept)
     rows = english_with_topic(picked).where(F.col("category") == category)
-    return share(rows, "grievance_category")
+    return share(rows, "topic")
 
 
 # --- channels -----------------------------------------------------------------------------------------
@@ -319,27 +320,18 @@ def channel_benefit_days(tickets: DataFrame, as_of: Instant = C.DEFAULT_AS_OF) -
     return _per_channel(tickets, measures, "channel")
 
 
-def distinct_values(table: DataFrame, column: str) -> list[str]:
-    """Values of a low-cardinality column, for use as matrix columns.
-
-    Raises when there are more than a matrix can hold instead of dropping any.
-    """
-    rows = (
-        table.where(F.col(column).isNotNull()).select(column).distinct()
-        .orderBy(column).limit(MAX_PIVOT_VALUES + 1).collect()
-    )
-    if len(rows) > MAX_PIVOT_VALUES:
-        raise ValueError(f"{column} has more than {MAX_PIVOT_VALUES} values")
-    return [r[0] for r in rows]
+def office_mode_shares(tickets: DataFrame) -> DataFrame:
+    """Rows per office and mode with their percentage of the office: any number of modes."""
+    counted = _grouped(tickets, "office", "mode").agg(F.count("*").alias("count"))
+    total = F.sum("count").over(Window.partitionBy("office"))  # one row per mode of an office
+    return counted.withColumn("percent", num.percent("count", total))
 
 
-def office_mode_pct(tickets: DataFrame, modes: list[str] | None = None) -> DataFrame:
+def office_mode_pct(tickets: DataFrame, modes: Sequence[str]) -> DataFrame:
     """Office by mode matrix of row percentages; absent cells are 0.
 
-    ``modes`` are the columns, by default all that occur. The row total always covers
-    every mode.
+    ``modes`` are the columns. The row total always covers every mode.
     """
-    modes = distinct_values(tickets, "mode") if modes is None else modes
     total = F.count("mode")
     return (
         _grouped(tickets, "office")
@@ -354,9 +346,8 @@ def office_mode_pct(tickets: DataFrame, modes: list[str] | None = None) -> DataF
     )
 
 
-def office_mode_matrix(tickets: DataFrame, modes: list[str] | None = None) -> DataFrame:
-    """Office by mode counts with row percentages beside them."""
-    modes = distinct_values(tickets, "mode") if modes is None else modes
+def office_mode_matrix(tickets: DataFrame, modes: Sequence[str]) -> DataFrame:
+    """Office by mode counts with row percentages beside them, for the named modes."""
     total = F.count("mode")
     cell = {m: F.count_if(F.col("mode") == m) for m in modes}
     return (
@@ -419,7 +410,7 @@ def channel_overview(tickets: DataFrame, channel: str, key: str, keep_nulls: boo
 
 
 def rows_per_ticket(stacked: DataFrame) -> DataFrame:
-    return counts(stacked, "ticket_no")
+    return counts(stacked, "ticket_no", ordered=False)
 
 
 def unique_tickets(stacked: DataFrame) -> DataFrame:
@@ -430,21 +421,21 @@ def topic_by(tickets: DataFrame, topic: str, key: str, dept: str | None = None)
     """Counts by ``key`` among mostly English tickets of a topic (and department)."""
     if dept is not None:
         tickets = tickets.where(F.col("dept") == dept)
-    rows = english_with_topic(tickets).where(F.col("grievance_category") == topic)
+    rows = english_with_topic(tickets).where(F.col("topic") == topic)
     return counts(rows, key)
 
 
 def topic_outside_subcategory(tickets: DataFrame, topic: str, subcategory: str) -> DataFrame:
     """Mostly English tickets of a topic filed under another, or no, subcategory."""
     return english_with_topic(tickets).where(
-        (F.col("grievance_category") == topic) & ~F.col("subcategory").eqNullSafe(subcategory)
+        (F.col("topic") == topic) & ~F.col("subcategory").eqNullSafe(subcategory)
     )
 
 
 def topic_mentions(tickets: DataFrame, topic: str, dept: str, word: str) -> DataFrame:
     """How many mostly English tickets of a topic and department mention a word."""
     rows = english_with_topic(tickets.where(F.col("dept") == dept))
-    hit = (F.col("grievance_category") == topic) & F.lower("grievance").contains(word)
+    hit = (F.col("topic") == topic) & F.lower("complaint_text").contains(word)
     return rows.agg(F.count_if(hit).alias("mentions"))
 
 
@@ -459,7 +450,7 @@ def report_catalogue(tickets: DataFrame, as_of: Instant = C.DEFAULT_AS_OF) -> di
         "resolution_times": resolution_times(tickets, as_of),
         "avg_time_metrics": avg_time_metrics(tickets, as_of),
         "mode_summary": mode_summary_table(tickets, as_of),
-        "office_mode_pct": office_mode_pct(tickets),
+        "office_mode_shares": office_mode_shares(tickets),
         "office_channel_summary": office_channel_summary(tickets),
         "benefitted_pct_by_channel": benefitted_pct_by_channel(tickets),
     }

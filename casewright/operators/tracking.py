@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from casewright import contracts as C
 from casewright.functions import dates
-from casewright.operators.spread import split_join
 
 Instant = Column | str | datetime
 CELL_KEYS = list(C.CELL_KEYS)
@@ -33,13 +32,10 @@ def record_outcomes(tracking: DataFrame, outcomes: DataFrame, keys: list[str], n
     last = outcomes.groupBy(*keys).agg(
         F.max(F.when(won, F.struct("attempt_seq", "records"))).alias("_won")
     )
-    # A key may have very many attempts; its last success is one row.
-    later = split_join(
-        outcomes.where(~won).select(*keys, "attempt_seq"),
-        last.where(F.col("_won").isNotNull()), keys, "left",
-    ).where(F.col("_won").isNull() | (F.col("attempt_seq") > F.col("_won.attempt_seq")))
-    failed = later.groupBy(*keys).agg(F.count("*").alias("_failed"))
-    folded = last.join(failed, keys, "left")
+    later = ~won & (F.col("_won").isNull() | (F.col("attempt_seq") > F.col("_won.attempt_seq")))
+    # The join leaves the rows of a key together, as both groupings need them.
+    folded = outcomes.select(*keys, "outcome", "attempt_seq").join(last, keys).groupBy(*keys).agg(
+        F.any_value("_won").alias("_won"), F.count_if(later).alias("_failed"))
     return _apply(tracking, folded, keys, now)
 
 

@@ -34,11 +34,11 @@ def _(spark, sf):
     return profile.shape(fx.tickets(spark, sf, "ticket_no", "mode", "status_id"))
 
 
-_PROFILED = ("ticket_no", "grievance", "block", "mode", "tagged_date", "status_id", "seq", "govt_ticket")
+_PROFILED = ("ticket_no", "complaint_text", "block", "mode", "tagged_date", "status_id", "seq", "govt_ticket")
 
 
 def _profile_sql() -> str:
-    kinds = {"ticket_no": "string", "grievance": "string", "block": "string", "mode": "string",
+    kinds = {"ticket_no": "string", "complaint_text": "string", "block": "string", "mode": "string",
              "tagged_date": "timestamp_ntz", "status_id": "int", "seq": "bigint", "govt_ticket": "boolean"}
 
     def row(c: str) -> str:
@@ -127,60 +127,60 @@ def _(spark, sf):
 
 # --- repeated texts --------------------------------------------------------------------------------
 
-_TEXTS = "texts AS (SELECT mode, grievance, count(*) AS n FROM tickets WHERE mode IS NOT NULL GROUP BY 1, 2)"
+_TEXTS = "texts AS (SELECT mode, complaint_text, count(*) AS n FROM tickets WHERE mode IS NOT NULL GROUP BY 1, 2)"
 
 
-@query("e9_text_flags", with_ctes(t("mode", "grievance"), _TEXTS, """
- SELECT mode, grievance, n AS count, n > 10 AS repeated_grievance,
-  CAST(length(grievance) AS INT) AS length, length(grievance) > 10 AND n > 10 AS classified_grievance
- FROM texts WHERE grievance IS NOT NULL"""))
+@query("e9_text_flags", with_ctes(t("mode", "complaint_text"), _TEXTS, """
+ SELECT mode, complaint_text, n AS count, n > 10 AS repeated_text,
+  CAST(length(complaint_text) AS INT) AS length, length(complaint_text) > 10 AND n > 10 AS classified_text
+ FROM texts WHERE complaint_text IS NOT NULL"""))
 def _(spark, sf):
-    return profile.text_flags(fx.tickets(spark, sf, "mode", "grievance"))
+    return profile.text_flags(fx.tickets(spark, sf, "mode", "complaint_text"))
 
 
 def _flagged_sql(where: str) -> str:
-    return with_ctes(t("mode", "grievance"), _TEXTS, f"""
+    return with_ctes(t("mode", "complaint_text"), _TEXTS, f"""
  SELECT mode, CAST(sum(n) FILTER ({where}) AS BIGINT) AS count_x, CAST(sum(n) AS BIGINT) AS count_y,
   {pct(f'sum(n) FILTER ({where})', 'sum(n)', 2)} AS pct
  FROM texts GROUP BY mode HAVING count(*) FILTER ({where}) > 0""")
 
 
-@query("e10_repeated_share", _flagged_sql("n > 10 AND grievance IS NOT NULL"))
+@query("e10_repeated_share", _flagged_sql("n > 10 AND complaint_text IS NOT NULL"))
 def _(spark, sf):
-    return profile.repeated_share(fx.tickets(spark, sf, "mode", "grievance"))
+    return profile.repeated_share(fx.tickets(spark, sf, "mode", "complaint_text"))
 
 
-@query("e11_classified_share", _flagged_sql("n > 10 AND length(grievance) > 10"))
+@query("e11_classified_share", _flagged_sql("n > 10 AND length(complaint_text) > 10"))
 def _(spark, sf):
-    return profile.classified_share(fx.tickets(spark, sf, "mode", "grievance"))
+    return profile.classified_share(fx.tickets(spark, sf, "mode", "complaint_text"))
 
 
-_LOWER = "texts AS (SELECT lower(grievance) AS grievance, count(*) AS n FROM tickets WHERE grievance IS NOT NULL GROUP BY 1)"
+_LOWER = "texts AS (SELECT lower(complaint_text) AS complaint_text, count(*) AS n FROM tickets WHERE complaint_text IS NOT NULL GROUP BY 1)"
 
 
-@query("e12_distinct_texts", with_ctes(t("grievance"), _LOWER,
-       "SELECT grievance, n AS count, CAST(length(grievance) AS INT) AS length FROM texts"))
+@query("e12_distinct_texts", with_ctes(t("complaint_text"), _LOWER,
+       "SELECT complaint_text, n AS count, CAST(length(complaint_text) AS INT) AS length FROM texts"))
 def _(spark, sf):
-    return profile.distinct_texts(fx.tickets(spark, sf, "grievance"))
+    return profile.distinct_texts(fx.tickets(spark, sf, "complaint_text"))
 
 
-@query("e13_distinct_text_totals", with_ctes(t("grievance"), _LOWER, """
+@query("e13_distinct_text_totals", with_ctes(t("complaint_text"), _LOWER, """
  SELECT count(*) AS distinct_texts,
-  CAST(coalesce(sum(n) FILTER (length(grievance) < 100), 0) AS BIGINT) AS short_rows,
+  CAST(coalesce(sum(n) FILTER (length(complaint_text) < 100), 0) AS BIGINT) AS short_rows,
   CAST(coalesce(sum(n) FILTER (n > 1), 0) AS BIGINT) AS repeated_rows FROM texts"""))
 def _(spark, sf):
-    return profile.distinct_text_totals(fx.tickets(spark, sf, "grievance"))
+    return profile.distinct_text_totals(fx.tickets(spark, sf, "complaint_text"))
 
 
-_MODE_TEXTS = """texts AS (SELECT mode, lower(grievance) AS grievance, count(*) AS n FROM tickets
- WHERE mode IS NOT NULL AND grievance IS NOT NULL GROUP BY 1, 2)"""
+_MODE_TEXTS = """texts AS (SELECT mode, lower(complaint_text) AS complaint_text, count(*) AS n FROM tickets
+ WHERE mode IS NOT NULL AND complaint_text IS NOT NULL GROUP BY 1, 2)"""
 
 
 def _register_mode_texts(mode: str, only: str, test: str):
-    @query(f"e14_{mode.lower()}_{only}_texts", with_ctes(t("mode", "grievance"), _MODE_TEXTS,
-           f"SELECT mode, grievance, n AS count FROM texts WHERE mode = '{mode}' AND n {test}"))
+    @query(f"e14_{mode.lower()}_{only}_texts", with_ctes(t("mode", "complaint_text"), _MODE_TEXTS,
+           f"SELECT mode, complaint_text, n AS count FROM texts WHERE mode = '{mode}' AND n {test}"))
     def _(spark, sf):
-        return profile.mode_texts(fx.tickets(spark, sf, "mode", "grievance"), mode, only)
+        return profile.mode_texts(fx.tickets(spark, sf, "mode", "complaint_text"), mode, only)
 
 
 for _mode in ("Website", "Whatsapp", "Physical", "Letter"):
@@ -189,37 +189,37 @@ for _mode in ("Physical", "Letter"):
     _register_mode_texts(_mode, "single", "= 1")
 
 
-@query("e14_mode_text_summary", with_ctes(t("mode", "grievance"), _MODE_TEXTS, f"""
+@query("e14_mode_text_summary", with_ctes(t("mode", "complaint_text"), _MODE_TEXTS, f"""
  SELECT mode, CAST(sum(n) AS BIGINT) AS total, count(*) AS distinct_texts,
   count(*) FILTER (n > 1) AS frequent_texts,
   {pct('coalesce(sum(n) FILTER (n > 1), 0)', 'sum(n)')} AS frequent_pct
  FROM texts GROUP BY mode"""))
 def _(spark, sf):
-    return profile.mode_text_summary(fx.tickets(spark, sf, "mode", "grievance"))
+    return profile.mode_text_summary(fx.tickets(spark, sf, "mode", "complaint_text"))
 
 
-@query("e15_text_contains", with_ctes(t("ticket_no", "grievance"), """
- SELECT ticket_no FROM tickets WHERE contains(lower(grievance), 'land ')"""))
+@query("e15_text_contains", with_ctes(t("ticket_no", "complaint_text"), """
+ SELECT ticket_no FROM tickets WHERE contains(lower(complaint_text), 'land ')"""))
 def _(spark, sf):
-    rows = profile.lowered(fx.tickets(spark, sf, "ticket_no", "grievance"))
+    rows = profile.lowered(fx.tickets(spark, sf, "ticket_no", "complaint_text"))
     return lookup.tickets_where(rows, contains=["land "]).select("ticket_no")
 
 
-@query("e15_letter_singles_without_phrases", with_ctes(t("mode", "grievance"), _MODE_TEXTS, """
- SELECT mode, grievance, n AS count FROM texts WHERE mode = 'Letter' AND n = 1
- AND NOT contains(grievance, 'pmay') AND NOT contains(grievance, 'subhadra') AND NOT contains(grievance, 'land')"""))
+@query("e15_letter_singles_without_phrases", with_ctes(t("mode", "complaint_text"), _MODE_TEXTS, """
+ SELECT mode, complaint_text, n AS count FROM texts WHERE mode = 'Letter' AND n = 1
+ AND NOT contains(complaint_text, 'pmay') AND NOT contains(complaint_text, 'subhadra') AND NOT contains(complaint_text, 'land')"""))
 def _(spark, sf):
-    texts = profile.mode_texts(fx.tickets(spark, sf, "mode", "grievance"), "Letter", "single")
+    texts = profile.mode_texts(fx.tickets(spark, sf, "mode", "complaint_text"), "Letter", "single")
     return lookup.tickets_where(texts, contains_none=["pmay", "subhadra", "land"])
 
 
-@query("e15_website_without_phrases", with_ctes(t("mode", "grievance"), """
- SELECT lower(grievance) AS grievance, count(*) AS count FROM tickets WHERE mode = 'Website'
- AND NOT contains(lower(grievance), 'ration card') AND NOT contains(lower(grievance), 'financial help') GROUP BY 1"""))
+@query("e15_website_without_phrases", with_ctes(t("mode", "complaint_text"), """
+ SELECT lower(complaint_text) AS complaint_text, count(*) AS count FROM tickets WHERE mode = 'Website'
+ AND NOT contains(lower(complaint_text), 'ration card') AND NOT contains(lower(complaint_text), 'financial help') GROUP BY 1"""))
 def _(spark, sf):
-    rows = profile.lowered(fx.tickets(spark, sf, "mode", "grievance"))
+    rows = profile.lowered(fx.tickets(spark, sf, "mode", "complaint_text"))
     rows = lookup.tickets_where(rows, modes=["Website"], contains_none=["ration card", "financial help"])
-    return reports.counts(rows, "grievance")
+    return reports.counts(rows, "complaint_text")
 
 
 # --- senders -------------------------------------------------------------------------------------------
@@ -274,10 +274,11 @@ def _(spark, sf):
 
 
 _FLAG_NAMES = C.ACTION_STATUSES
-_FLAGS_SQL = ", ".join(f"action_status = '{s}' AS \"{s}\"" for s in _FLAG_NAMES)
+_OTHER_SQL = "coalesce(action_status NOT IN ({}), true)".format(", ".join(f"'{s}'" for s in _FLAG_NAMES))
+_FLAGS_SQL = ", ".join(f"action_status = '{s}' AS \"{s}\"" for s in _FLAG_NAMES) + f', {_OTHER_SQL} AS "Other"'
 _TOKENS = ("tokens AS (SELECT ticket_no, "
            + ", ".join(f"count(*) FILTER (action_status = '{s}') AS \"{s}\"" for s in _FLAG_NAMES)
-           + " FROM actions GROUP BY ticket_no)")
+           + f', count(*) FILTER ({_OTHER_SQL}) AS "Other" FROM actions GROUP BY ticket_no)')
 _SUM = " + ".join(f'"{s}"' for s in _FLAG_NAMES)
 
 
@@ -286,6 +287,11 @@ def _(spark, sf):
     return ops.with_status_flags(fx.actions(spark, sf, "seq", "ticket_no", "action_status"))
 
 
+@query("h1_status_counts", with_ctes(A, "SELECT action_status, count(*) AS count FROM actions GROUP BY 1"))
+def _(spark, sf):
+    return ops.status_counts(fx.actions(spark, sf, "action_status"))
+
+
 @query("h2_reminders", with_ctes(A, f"""
  SELECT seq, ticket_no, action_status, {_FLAGS_SQL} FROM actions WHERE action_status = 'Reminder Sent'"""))
 def _(spark, sf):
@@ -339,20 +345,20 @@ def _(spark, sf):
 # --- scalar functions over whole columns ---------------------------------------------------------------------
 
 
-@query("f_text_functions", with_ctes(t("ticket_no", "grievance", "office"), rf"""
- SELECT ticket_no, md5(lower(grievance)) AS lower_md5, CAST(length(grievance) AS INT) AS text_length,
-  contains(grievance, 'e') OR contains(grievance, 'land') AS has_any,
+@query("f_text_functions", with_ctes(t("ticket_no", "complaint_text", "office"), rf"""
+ SELECT ticket_no, md5(lower(complaint_text)) AS lower_md5, CAST(length(complaint_text) AS INT) AS text_length,
+  contains(complaint_text, 'e') OR contains(complaint_text, 'land') AS has_any,
   replace(office, 'Superintendent', 'Supertendent') AS replaced, {TOPIC_SQL} AS topic,
   coalesce({ASCII_SQL}, false) AS mostly_ascii
  FROM tickets"""))
 def _(spark, sf):
-    return fx.tickets(spark, sf, "ticket_no", "grievance", "office").select(
-        "ticket_no", F.md5(F.lower("grievance")).alias("lower_md5"),
-        F.length("grievance").alias("text_length"),
-        tx.contains_any("grievance", ["e", "land"]).alias("has_any"),
+    return fx.tickets(spark, sf, "ticket_no", "complaint_text", "office").select(
+        "ticket_no", F.md5(F.lower("complaint_text")).alias("lower_md5"),
+        F.length("complaint_text").alias("text_length"),
+        tx.contains_any("complaint_text", ["e", "land"]).alias("has_any"),
         tx.replace_literal("office", "Superintendent", "Supertendent").alias("replaced"),
-        tx.topic_of("grievance").alias("topic"),
-        tx.is_mostly_ascii("grievance").alias("mostly_ascii"),
+        tx.topic_of("complaint_text").alias("topic"),
+        tx.is_mostly_ascii("complaint_text").alias("mostly_ascii"),
     )
 
 

@@ -2,7 +2,8 @@
 
 Columns are stated once as SQL expressions that Spark and the checking engine both
 read, so a check exercises the operators and not the derivation. Only the joins that the
-requested columns need are planned. All inputs are used whole.
+requested columns need are planned. All inputs are used whole; every document reaches the
+text of a ticket, plain or behind a keyword.
 """
 
 from __future__ import annotations
@@ -16,9 +17,12 @@ NOW = "2002-01-01 00:00:00"
 EVENTS_NOW = "2024-01-31 00:00:00"
 HISTORY_CUT = "1998-01-01 00:00:00"
 
-_OFFICE = """CASE r_name WHEN 'AFRICA' THEN 'Office of Chief Minister'
+# One office has no disposed ticket, another none that came in online.
+_OFFICE = """CASE WHEN r_name = 'AFRICA' AND o_custkey % 3 = 0 AND o_orderstatus IN ('O', 'P') THEN 'Governor'
+ WHEN r_name = 'EUROPE' AND o_custkey % 3 = 1 AND o_orderpriority NOT IN ('1-URGENT', '2-HIGH') THEN 'DG & IG Police'
+ ELSE CASE r_name WHEN 'AFRICA' THEN 'Office of Chief Minister'
  WHEN 'AMERICA' THEN 'Chief Secretary' WHEN 'ASIA' THEN 'Collector'
- WHEN 'EUROPE' THEN 'Departments' ELSE 'Superintendent of Police' END"""
+ WHEN 'EUROPE' THEN 'Departments' ELSE 'Superintendent of Police' END END"""
 _STATUS_ID = "CASE o_orderstatus WHEN 'O' THEN 0 WHEN 'P' THEN 1 ELSE 2 END"
 _CREATED = "(o_orderdate + CAST(o_orderkey % 24 AS INT) * INTERVAL '1' HOUR)"
 _DISPOSED = "o_orderstatus NOT IN ('O', 'P')"
@@ -30,10 +34,11 @@ TICKET_COLUMNS: dict[str, tuple[str, str]] = {
     "petitioner_name": ("place", "c_name"),
     "petitioner_mobile": ("orders", "CAST(o_custkey AS STRING)"),
     "petitioner_email": ("place", "CASE WHEN o_custkey % 4 <> 0 THEN lower(c_name) || '@example.org' END"),
-    "grievance": ("doc", """CASE o_orderkey % 8 WHEN 0 THEN 'financial help' WHEN 1 THEN '.'
- WHEN 2 THEN 'PMAY house ' || text WHEN 3 THEN 'Subhadra yojana ' || text
- WHEN 4 THEN 'Subhadra ' || text WHEN 5 THEN 'Ration Card ' || text
- WHEN 6 THEN 'land ' || text ELSE text END"""),
+    # Orders go through the documents again and again, each time with another kind of text.
+    "complaint_text": ("doc", """CASE CAST((o_orderkey - o_orderkey % n_docs) / n_docs AS BIGINT) % 8
+ WHEN 0 THEN text WHEN 1 THEN 'PMAY house ' || text WHEN 2 THEN 'financial help'
+ WHEN 3 THEN 'Subhadra yojana ' || text WHEN 4 THEN '.' WHEN 5 THEN 'Subhadra ' || text
+ WHEN 6 THEN 'Ration Card ' || text ELSE 'land ' || text END"""),
     "document_url": ("orders", """CASE o_orderkey % 7 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN 'N/A'
  WHEN 3 THEN 'http://files.example.org/a~PDF' WHEN 4 THEN 'HTTPS://files.example.org/b'
  WHEN 5 THEN 'www.example~pdf' ELSE 'http://files.example.org/c~' END"""),
@@ -42,8 +47,11 @@ TICKET_COLUMNS: dict[str, tuple[str, str]] = {
     "district": ("place", "n_name"),
     "block": ("orders", "CASE WHEN o_custkey % 3 <> 0 THEN 'Block ' || CAST(o_custkey % 10 AS STRING) END"),
     "address": ("place", "c_name || ', ' || n_name"),
-    "mode": ("orders", """CASE o_orderpriority WHEN '1-URGENT' THEN 'Website' WHEN '2-HIGH' THEN 'Whatsapp'
- WHEN '3-MEDIUM' THEN 'Physical' WHEN '4-NOT SPECIFIED' THEN 'Letter' ELSE 'Phone' END"""),
+    "mode": ("orders", f"""CASE o_orderpriority
+ WHEN '1-URGENT' THEN CASE o_orderkey % 10 WHEN 3 THEN 'Mobile' ELSE 'Website' END WHEN '2-HIGH' THEN 'Whatsapp'
+ WHEN '3-MEDIUM' THEN CASE o_orderkey % 10 WHEN 1 THEN 'Joint Hearing' WHEN 2 THEN '{C.WIRE_VALUES["weekly_mode"]}'
+  ELSE 'Physical' END
+ WHEN '4-NOT SPECIFIED' THEN CASE o_orderkey % 10 WHEN 4 THEN 'Email' ELSE 'Letter' END ELSE 'Phone' END"""),
     "disability": ("orders", "CASE WHEN o_custkey % 6 <> 0 THEN 'None' END"),
     "status": ("orders", """CASE o_orderstatus WHEN 'O' THEN 'To be assigned'
  WHEN 'P' THEN 'Assigned but pending' ELSE 'Disposed' END"""),
@@ -92,8 +100,8 @@ _JOINS_SQL = {
  ON o_custkey = c_custkey""",
     "ship": """ LEFT JOIN (SELECT l_orderkey, max(l_shipdate) AS last_ship FROM lineitem GROUP BY l_orderkey) s
  ON o_orderkey = l_orderkey""",
-    "doc": """ LEFT JOIN (SELECT doc_id, text FROM documents) d
- ON doc_id = o_orderkey % (SELECT count(*) FROM documents)""",
+    "doc": """ CROSS JOIN (SELECT count(*) AS n_docs FROM documents) c
+ LEFT JOIN (SELECT doc_id, text FROM documents) d ON doc_id = o_orderkey % n_docs""",
 }
 
 
@@ -111,13 +119,10 @@ def tickets(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     needed = _sources(columns)
     rows = read(spark, sf_dir, "orders")
     if "place" in needed:
-        # 25 nations and 5 regions by definition of the schema; customers grow with the data.
         dims = read(spark, sf_dir, "nation").join(
-            F.broadcast(read(spark, sf_dir, "region")), F.expr("n_regionkey = r_regionkey")
-        )
-        place = read(spark, sf_dir, "customer").join(
-            F.broadcast(dims), F.expr("c_nationkey = n_nationkey")
+            read(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey")
         )
+        place = read(spark, sf_dir, "customer").join(dims, F.expr("c_nationkey = n_nationkey"))
         rows = rows.join(place, F.expr("o_custkey = c_custkey"), "left")
     if "ship" in needed:
         ship = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
@@ -127,11 +132,10 @@ def tickets(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     if "doc" in needed:
         docs = read(spark, sf_dir, "documents").select("doc_id", "text")
         n_docs = docs.select(F.count("*")).scalar()
-        # A text is some 60 times as wide as the row it joins. Spreading the rows by count
-        # keeps the tasks behind the join even; it is also the partitioning a shuffled
-        # join needs. Sizes seen before the join would merge the rows into few tasks.
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        rows = rows.withColumn("_doc", F.col("o_orderkey") % n_docs).repartition(parts, "_doc")
+        # A text is some 60 times as wide as the row it joins; spreading the rows first
+        # keeps the tasks behind the join even.
+        rows = rows.withColumn("n_docs", n_docs)
+        rows = rows.withColumn("_doc", F.expr("o_orderkey % n_docs")).repartition("_doc")
         rows = rows.join(docs, F.expr("_doc = doc_id"), "left")
     return rows.select(*[F.expr(TICKET_COLUMNS[c][1]).alias(c) for c in columns])
 
@@ -178,8 +182,12 @@ ACTION_COLUMNS: dict[str, str] = {
     "action_taken_by": "'U' || CAST(event_id % 7 AS STRING)",
     "action_taken_date": "ts",
     "action_taken_remark": "props",
-    "action_status": """CASE event_type WHEN 'click' THEN 'Forward' WHEN 'view' THEN 'Complaint Register'
- WHEN 'purchase' THEN 'Replied' WHEN 'signup' THEN 'Complaint Assigned' ELSE 'Reminder Sent' END""",
+    # All listed statuses occur, and one that is not listed.
+    "action_status": """CASE event_type
+ WHEN 'click' THEN CASE event_id % 4 WHEN 1 THEN 'Forwarded To Subordinate' WHEN 2 THEN 'Complaint Transfer' ELSE 'Forward' END
+ WHEN 'view' THEN 'Complaint Register' WHEN 'purchase' THEN 'Replied' WHEN 'signup' THEN 'Complaint Assigned'
+ ELSE CASE event_id % 6 WHEN 0 THEN 'Reopen' WHEN 1 THEN 'Discard' WHEN 2 THEN 'Complaint Pullback' WHEN 3 THEN 'Escalated'
+  ELSE 'Reminder Sent' END END""",
     "complaint_status_with_authority": "CASE WHEN event_type = 'purchase' THEN 'Closed' ELSE 'Open' END",
     "seq": "event_id",
 }
@@ -273,7 +281,7 @@ def complaint_batch(spark: SparkSession, sf_dir: str, *columns: str) -> DataFram
 def district_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """District rows observed with customers: one per customer, so ids repeat."""
     return read(spark, sf_dir, "customer").join(
-        F.broadcast(read(spark, sf_dir, "nation")), F.expr("c_nationkey = n_nationkey")
+        read(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey")
     ).select(
         F.col("n_nationkey").alias("dist_id"),
         F.expr("n_name || ' ' || c_mktsegment").alias("dist_name"),

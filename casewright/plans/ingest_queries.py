@@ -162,7 +162,7 @@ def _(spark, sf):
   WHEN seq % 5 = 2 THEN replace(replace(office, 'Chief', 'Cheif'), 'Superintendent', 'Supertendent')
   WHEN seq % 5 = 3 THEN upper(office) ELSE office END AS spelling FROM tickets)""", """
  SELECT spelling, CASE WHEN spelling IN ('Dept', 'Unknown Office') THEN NULL
-  WHEN spelling = upper(spelling) THEN NULL ELSE office END AS matched, count(*) AS count
+  WHEN spelling = upper(spelling) AND office <> 'DG & IG Police' THEN NULL ELSE office END AS matched, count(*) AS count
  FROM spelled GROUP BY 1, 2"""))
 def _(spark, sf):
     seq = F.col("seq") % 5
@@ -178,19 +178,27 @@ def _(spark, sf):
     )
 
 
-@query("v6_iso_times", with_ctes(t("seq", "created_on"), """
- SELECT seq, CASE seq % 8 WHEN 0 THEN date_trunc('day', created_on) WHEN 2 THEN created_on + INTERVAL '250' MILLISECOND
-  WHEN 3 THEN created_on - INTERVAL '330' MINUTE WHEN 5 THEN date_trunc('day', created_on)
-  WHEN 7 THEN NULL ELSE created_on END::TIMESTAMP AS parsed FROM tickets"""))
+# Spelling by key modulo 16 and what it stands for.
+_ISO_FORMS = {
+    0: ("yyyy-MM-dd", "date_trunc('day', created_on)"), 1: ("yyyy-MM-dd'T'HH:mm:ss", "created_on"),
+    2: ("yyyy-MM-dd HH:mm:ss'.250'", "created_on + INTERVAL '250' MILLISECOND"),
+    3: ("yyyy-MM-dd'T'HH:mm:ss'+05:30'", "created_on - INTERVAL '330' MINUTE"),
+    4: ("yyyy-MM-dd'T'HH:mm:ss'Z'", "created_on"), 5: ("yyyyMMdd", "date_trunc('day', created_on)"),
+    6: ("yyyy-M-d'T'H:m:s", "created_on"), 7: ("yyyy", "NULL"),
+    8: ("yyyy-MM-dd'T'HH:mm'Z'", "date_trunc('minute', created_on)"), 9: ("yyyyMMdd'T'HHmmss", "created_on"),
+    10: ("yyyy-MM-dd'T'HHmmss", "created_on"), 11: ("yyyy-MM-dd'T'HH:mm:ss'+05'", "created_on - INTERVAL '5' HOUR"),
+    12: ("yyyyMMdd HHmm", "date_trunc('minute', created_on)"), 13: ("yyyy-MM-dd'_'HH", "date_trunc('hour', created_on)"),
+    14: ("yyyy-MM-dd'T'HH:mm:ss',5-0330'", "created_on + INTERVAL '210' MINUTE + INTERVAL '500' MILLISECOND"),
+    15: ("yyyy-MM-dd'T'HH:mm:ss'+25:00'", "NULL"),
+}
+
+
+@query("v6_iso_times", with_ctes(t("seq", "created_on"), "SELECT seq, CASE seq % 16 "
+       + " ".join(f"WHEN {k} THEN {sql}" for k, (_, sql) in _ISO_FORMS.items()) + " END::TIMESTAMP AS parsed FROM tickets"))
 def _(spark, sf):
-    patterns = {
-        0: "yyyy-MM-dd", 1: "yyyy-MM-dd'T'HH:mm:ss", 2: "yyyy-MM-dd HH:mm:ss'.250'",
-        3: "yyyy-MM-dd'T'HH:mm:ss'+05:30'", 4: "yyyy-MM-dd'T'HH:mm:ss'Z'", 5: "yyyyMMdd",
-        6: "yyyy-M-d'T'H:m:s", 7: "yyyy",
-    }
     spelled = F
-    for kind, pattern in patterns.items():
-        spelled = spelled.when(F.col("seq") % 8 == kind, F.date_format("created_on", pattern))
+    for kind, (pattern, _) in _ISO_FORMS.items():
+        spelled = spelled.when(F.col("seq") % 16 == kind, F.date_format("created_on", pattern))
     return fx.tickets(spark, sf, "seq", "created_on").select(
         "seq", dates.parse_iso(spelled.otherwise(None)).alias("parsed")
     )

@@ -18,15 +18,15 @@ OPEN_SQL = (
 )
 CHANNEL_SQL = {
     "online": "mode IN ('Website', 'Whatsapp', 'Mobile')",
-    "offline": "mode IN ('Joint Hearing', 'Physical', 'CM Weekly Grievance')",
+    "offline": f"mode IN ('Joint Hearing', 'Physical', '{C.WIRE_VALUES["weekly_mode"]}')",
     "freetext": "mode IN ('Letter', 'Email')",
 }
 ANY_CHANNEL_SQL = "(" + " OR ".join(CHANNEL_SQL.values()) + ")"
 MERGED_SQL = "CASE WHEN category IN ('General', 'Miscellaneous') THEN 'General & Misc' ELSE category END"
-TOPIC_SQL = """CASE WHEN regexp_matches(lower(grievance), 'pmay|pmagy|housing|awas|yojana|yojna|house') THEN 'Housing'
- WHEN contains(lower(grievance), 'subhadra') THEN 'Subhadra Scheme'
- WHEN contains(lower(grievance), 'ration card') THEN 'Ration Card' ELSE 'Other' END"""
-ASCII_SQL = r"length(regexp_replace(grievance, '[^\x00-\x7F]', '', 'g')) / nullif(length(grievance), 0)::DOUBLE >= 0.9"
+TOPIC_SQL = """CASE WHEN regexp_matches(lower(complaint_text), 'pmay|pmagy|housing|awas|yojana|yojna|house') THEN 'Housing'
+ WHEN contains(lower(complaint_text), 'subhadra') THEN 'Subhadra Scheme'
+ WHEN contains(lower(complaint_text), 'ration card') THEN 'Ration Card' ELSE 'Other' END"""
+ASCII_SQL = r"length(regexp_replace(complaint_text, '[^\x00-\x7F]', '', 'g')) / nullif(length(complaint_text), 0)::DOUBLE >= 0.9"
 WELFARE = ("Social Welfare", "Panchayati Raj & Drinking Water")
 REVENUE = "Revenue & Disaster Management"
 
@@ -54,7 +54,7 @@ def counts_sql(source: str, keys: str, where: str = "TRUE") -> str:
     return f"SELECT {keys}, count(*) AS count FROM {source} WHERE {known} AND {where} GROUP BY {keys}"
 
 
-ENGLISH_SQL = f"""english AS (SELECT * REPLACE ({MERGED_SQL} AS category), {TOPIC_SQL} AS grievance_category
+ENGLISH_SQL = f"""english AS (SELECT * REPLACE ({MERGED_SQL} AS category), {TOPIC_SQL} AS topic
  FROM tickets WHERE {ASCII_SQL})"""
 
 # --- analysis table ------------------------------------------------------------------------
@@ -260,11 +260,11 @@ def _(spark, sf):
     return reports.departments_of(fx.tickets(spark, sf, "category", "dept"), "Social Welfare")
 
 
-_TOPIC = ("category", "dept", "grievance")
+_TOPIC = ("category", "dept", "complaint_text")
 _WELFARE_SQL = f"category = '{WELFARE[0]}' AND dept = '{WELFARE[1]}'"
 
 
-@query("a7_topic_mix", with_ctes(t(*_TOPIC), ENGLISH_SQL, share_sql("english", "grievance_category", 1, _WELFARE_SQL)))
+@query("a7_topic_mix", with_ctes(t(*_TOPIC), ENGLISH_SQL, share_sql("english", "topic", 1, _WELFARE_SQL)))
 def _(spark, sf):
     return reports.topic_mix(fx.tickets(spark, sf, *_TOPIC), *WELFARE)
 
@@ -276,27 +276,27 @@ def _(spark, sf):
 
 
 @query("a19_other_by_department", with_ctes(t(*_TOPIC), ENGLISH_SQL,
-       counts_sql("english", "dept", "grievance_category = 'Other'")))
+       counts_sql("english", "dept", "topic = 'Other'")))
 def _(spark, sf):
     return reports.topic_by(fx.tickets(spark, sf, *_TOPIC), "Other", "dept")
 
 
 @query("a19_ration_card_elsewhere", with_ctes(t("ticket_no", "subcategory", *_TOPIC), ENGLISH_SQL, """
- SELECT ticket_no, subcategory, category, dept, grievance_category FROM english
- WHERE grievance_category = 'Ration Card' AND subcategory IS DISTINCT FROM 'Ration Card Issue'"""))
+ SELECT ticket_no, subcategory, category, dept, topic FROM english
+ WHERE topic = 'Ration Card' AND subcategory IS DISTINCT FROM 'Ration Card Issue'"""))
 def _(spark, sf):
     rows = fx.tickets(spark, sf, "ticket_no", "subcategory", *_TOPIC)
-    return reports.topic_outside_subcategory(rows, "Ration Card", "Ration Card Issue").drop("grievance")
+    return reports.topic_outside_subcategory(rows, "Ration Card", "Ration Card Issue").drop("complaint_text")
 
 
 @query("a19_ration_card_modes", with_ctes(t("mode", *_TOPIC), ENGLISH_SQL,
-       counts_sql("english", "mode", f"grievance_category = 'Ration Card' AND dept = '{WELFARE[1]}'")))
+       counts_sql("english", "mode", f"topic = 'Ration Card' AND dept = '{WELFARE[1]}'")))
 def _(spark, sf):
     return reports.topic_by(fx.tickets(spark, sf, "mode", *_TOPIC), "Ration Card", "mode", WELFARE[1])
 
 
 @query("a19_land_mentions", with_ctes(t(*_TOPIC), ENGLISH_SQL, f"""
- SELECT count(*) FILTER (grievance_category = 'Other' AND contains(lower(grievance), 'land')) AS mentions
+ SELECT count(*) FILTER (topic = 'Other' AND contains(lower(complaint_text), 'land')) AS mentions
  FROM english WHERE dept = '{REVENUE}'"""))
 def _(spark, sf):
     return reports.topic_mentions(fx.tickets(spark, sf, *_TOPIC), "Other", REVENUE, "land")
@@ -309,16 +309,16 @@ def _(spark, sf):
     return reports.counts(rows, "subcategory")
 
 
-@query("a19_grievance_counts", with_ctes(t("grievance"), counts_sql("tickets", "grievance")))
+@query("a19_text_counts", with_ctes(t("complaint_text"), counts_sql("tickets", "complaint_text")))
 def _(spark, sf):
-    return reports.counts(fx.tickets(spark, sf, "grievance"), "grievance")
+    return reports.counts(fx.tickets(spark, sf, "complaint_text"), "complaint_text", ordered=False)
 
 
-@query("a19_offline_grievance_counts", with_ctes(t("grievance", "mode"),
-       counts_sql("tickets", "grievance", CHANNEL_SQL["offline"])))
+@query("a19_offline_text_counts", with_ctes(t("complaint_text", "mode"),
+       counts_sql("tickets", "complaint_text", CHANNEL_SQL["offline"])))
 def _(spark, sf):
-    rows = fx.tickets(spark, sf, "grievance", "mode").where(F.col("mode").isin(*C.CHANNEL_MODES["offline"]))
-    return reports.counts(rows, "grievance")
+    rows = fx.tickets(spark, sf, "complaint_text", "mode").where(F.col("mode").isin(*C.CHANNEL_MODES["offline"]))
+    return reports.counts(rows, "complaint_text", ordered=False)
 
 
 @query("a19_general_tickets", with_ctes(t("ticket_no", "category", "dept", "office"), f"""
@@ -391,14 +391,21 @@ def _(spark, sf):
     return reports.channel_benefit_days(fx.tickets(spark, sf, *_CHANNEL[1:]), AS_OF)
 
 
-_MODES = ("Letter", "Phone", "Physical", "Website", "Whatsapp")
+_MODES = tuple(sorted({m for modes in C.CHANNEL_MODES.values() for m in modes} | {"Phone"}))
+
+
+@query("a10_office_mode_shares", with_ctes(t("office", "mode"), """cells AS (
+ SELECT office, mode, count(*) AS count FROM tickets WHERE office IS NOT NULL AND mode IS NOT NULL GROUP BY 1, 2)""", f"""
+ SELECT office, mode, count, {pct('count', 'sum(count) OVER (PARTITION BY office)')} AS percent FROM cells"""))
+def _(spark, sf):
+    return reports.office_mode_shares(fx.tickets(spark, sf, "office", "mode"))
 
 
 @query("a10_office_mode_pct", with_ctes(t("office", "mode"), f"""
- SELECT office, {', '.join(f"{pct(f"count(*) FILTER (mode = '{m}')", 'count(mode)')} AS {m}" for m in _MODES)}
+ SELECT office, {', '.join(f"{pct(f"count(*) FILTER (mode = '{m}')", 'count(mode)')} AS \"{m}\"" for m in _MODES)}
  FROM tickets WHERE office IS NOT NULL GROUP BY office"""))
 def _(spark, sf):
-    return reports.office_mode_pct(fx.tickets(spark, sf, "office", "mode"))
+    return reports.office_mode_pct(fx.tickets(spark, sf, "office", "mode"), _MODES)
 
 
 @query("a10_office_channel_summary", with_ctes(t("office", "mode"), f"""
@@ -411,11 +418,11 @@ def _(spark, sf):
 
 @query("a11_office_mode_matrix", with_ctes(t("office", "mode"), f"""
  SELECT office, count(mode) AS total,
- {', '.join(f"count(*) FILTER (mode = '{m}') AS {m}_count" for m in _MODES)},
- {', '.join(f"{pct(f"count(*) FILTER (mode = '{m}')", 'count(mode)')} AS {m}_percent" for m in _MODES)}
+ {', '.join(f"count(*) FILTER (mode = '{m}') AS \"{m}_count\"" for m in _MODES)},
+ {', '.join(f"{pct(f"count(*) FILTER (mode = '{m}')", 'count(mode)')} AS \"{m}_percent\"" for m in _MODES)}
  FROM tickets WHERE office IS NOT NULL GROUP BY office"""))
 def _(spark, sf):
-    return reports.office_mode_matrix(fx.tickets(spark, sf, "office", "mode"))
+    return reports.office_mode_matrix(fx.tickets(spark, sf, "office", "mode"), _MODES)
 
 
 def _benefit_channel_sql(extra: str = "") -> str:

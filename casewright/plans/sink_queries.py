@@ -2,32 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
 from casewright import contracts as C
-from casewright.operators import merge
 from casewright.plans import fixtures as fx, weekly
 from casewright.plans.registry import query, with_ctes
 from casewright.plans.report_queries import OVERALL_SQL, t
 from casewright.session import run_folder
 from casewright.sources import tables
-from casewright.sources.listing import list_objects
 
 _SHORT = ("ticket_no", "mode", "created_on", "block")
 _SCHEMA = T.StructType([f for f in C.RECORD_SCHEMA.fields if f.name in _SHORT])
-_REPORTED = ("ticket_no", "office", "mode", "status_id", "category", "dept", "grievance", "benefitted",
+_REPORTED = ("ticket_no", "office", "mode", "status_id", "category", "dept", "complaint_text", "benefitted",
              "created_on", "resolved_on")
 
 
 @query("s6_table_snapshots", with_ctes(t("ticket_no", "mode", "created_on", "block"), "SELECT * FROM tickets"))
 def _(spark, sf):
-    """The earlier tickets as the first version, all tickets merged in as the second."""
-    table = tables.Table(spark, run_folder(spark, "tables"), "tickets", _SCHEMA)
+    """The earlier tickets without block in one commit, all tickets in a second, replayed
+    and then compacted."""
+    root = run_folder(spark, "tables")
+    table = tables.Table(spark, root, "tickets", _SCHEMA, ("ticket_no",))
     rows = fx.tickets(spark, sf, *_SHORT)
-    table.write(rows.where(fx.EXISTING))
-    merged = merge.merge(table.read(), rows, ["ticket_no"], ["mode", "created_on", "block"])
-    table.write(merged)
-    return table.read()
+    table.append(rows.where(fx.EXISTING).withColumn("block", F.lit("?")), "early", 0, F.lit(0))
+    for _ in range(2):
+        table.append(rows, "all", 0, F.lit(1))
+    return table.compact(f"{root}/compacted").read()
 
 
 @query("s7_json_round_trip", with_ctes(t(*_SHORT), "SELECT * FROM tickets"))
@@ -37,12 +37,6 @@ def _(spark, sf):
     return spark.read.schema(_SCHEMA).json(folder)
 
 
-@query("s10_object_listing")
-def _(spark, sf):
-    """The files of the given tables; sizes come from the listing, no file is read."""
-    return list_objects(spark, sf).select("name", "length")
-
-
 @query("s12_published_reports", OVERALL_SQL)
 def _(spark, sf):
     """The joined table is written once; each report then scans only its own columns."""

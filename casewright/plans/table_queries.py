@@ -92,12 +92,12 @@ def _(spark, sf):
     return lookup.existing_in_batch(rows.where(fx.EXISTING).select("ticket_no", "status"), batch, "ticket_no")
 
 
-_FILTERED = ("ticket_no", "mode", "office", "status_id", "benefitted", "grievance")
+_FILTERED = ("ticket_no", "mode", "office", "status_id", "benefitted", "complaint_text")
 
 
 @query("l12_analytic_filter", with_ctes(t(*_FILTERED), f"""
  SELECT ticket_no FROM tickets WHERE {CHANNEL_SQL['online']} AND office = 'Collector' AND status_id = 2
- AND benefitted = 'No' AND NOT contains(grievance, 'Ration Card') AND contains(grievance, 'e')"""))
+ AND benefitted = 'No' AND NOT contains(complaint_text, 'Ration Card') AND contains(complaint_text, 'e')"""))
 def _(spark, sf):
     return lookup.tickets_where(
         fx.tickets(spark, sf, *_FILTERED), modes=C.CHANNEL_MODES["online"], office="Collector",
@@ -199,18 +199,18 @@ def _merged_sql(where: str) -> str:
  FROM e FULL JOIN i ON e.ticket_no = i.ticket_no) WHERE {where}""")
 
 
-def _merged_complaints(spark, sf):
-    return merge.merge_complaints(fx.stored_complaints(spark, sf), fx.complaint_batch(spark, sf))
+def _complaint_sides(spark, sf):
+    return fx.stored_complaints(spark, sf), fx.complaint_batch(spark, sf)
 
 
 @query("m2_m5_merge_complaints", _merged_sql("TRUE"))
 def _(spark, sf):
-    return _merged_complaints(spark, sf).select(*_MERGED, "action")
+    return merge.merge_complaints(*_complaint_sides(spark, sf)).select(*_MERGED, "action")
 
 
 @query("m8_changed_complaints", _merged_sql("action IN ('insert', 'update')"))
 def _(spark, sf):
-    return merge.changed(_merged_complaints(spark, sf)).select(*_MERGED, "action")
+    return merge.changed_complaints(*_complaint_sides(spark, sf)).select(*_MERGED, "action")
 
 
 # --- action merges ----------------------------------------------------------------------------------
@@ -527,6 +527,6 @@ def _(spark, sf):
     return _pending(spark, sf)
 
 
-@query("t11_first_pending", with_ctes(*_PENDING, "SELECT ticket_no FROM pending ORDER BY ticket_no LIMIT 50000"))
+@query("t11_first_pending", with_ctes(*_PENDING, "SELECT ticket_no FROM pending ORDER BY ticket_no LIMIT 100"))
 def _(spark, sf):
-    return documents.first_pending(_pending(spark, sf))
+    return documents.first_pending(_pending(spark, sf), 100)

@@ -4,22 +4,21 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casewright import contracts as C
+from casewright.functions import dates
 from casewright.operators import documents, reports, tracking
-from casewright.sources.tables import Table, write_reports
+from casewright.sources.tables import Table, open_table, write_reports
 
 
 def open_tables(spark: SparkSession, root: str) -> dict[str, Table]:
-    schemas = {
-        "districts": C.DISTRICT_SCHEMA,
-        "complaints": C.COMPLAINT_SCHEMA,
-        "action_history": C.ACTION_SCHEMA,
-        "cell_tracking": C.CELL_TRACKING_SCHEMA,
-        "ticket_tracking": C.TICKET_TRACKING_SCHEMA,
-    }
-    return {name: Table(spark, root, name, schema) for name, schema in schemas.items()}
+    return {name: open_table(spark, root, name) for name in C.UNIQUE_KEYS}
+
+
+def _moment(now: datetime | str):
+    """Microseconds of ``now``, by which later runs win."""
+    return F.unix_micros(dates.instant(now).cast("timestamp"))
 
 
 def plan_complaint_requests(tables: dict[str, Table], years, now: datetime | str,
@@ -44,12 +43,29 @@ def plan_downloads(tables: dict[str, Table], listing: DataFrame, now: datetime |
 
 def record_requests(table: Table, attempts: DataFrame, landed: DataFrame, keys: list[str],
                     now: datetime | str, empty_is_success: bool = False) -> DataFrame:
-    """Fold a run's landed records into the tracking table; returns the totals."""
+    """Fold a run's landed records into the tracking table; returns the totals.
+
+    Only the attempted keys are written, under the time of the run.
+    """
     outcomes = tracking.fold_outcomes(attempts, landed, keys, empty_is_success)
-    table.write(tracking.record_outcomes(table.read(), outcomes, keys, now))
+    run = ("requests", str(now).replace(" ", "_").replace(":", ""))
+    known = table.read(without=run).join(outcomes.select(*keys).distinct(), keys, "left_semi")
+    table.append(tracking.record_outcomes(known, outcomes, keys, now), *run, _moment(now))
     return tracking.outcome_totals(outcomes)
 
 
+def record_downloads(complaints: Table, attempts: DataFrame, now: datetime | str, skip_clears: bool = True) -> None:
+    """Apply download attempts to the document columns of the complaint table.
+
+    Only the attempted tickets are written, under the time of the run.
+    """
+    run = ("downloads", str(now).replace(" ", "_").replace(":", ""))
+    known = complaints.read(without=run).join(attempts.select("ticket_no").distinct(), "ticket_no", "left_semi")
+    updated = documents.apply_updates(
+        known, documents.updates_from_attempts(attempts), now, skip_clears=skip_clears)
+    complaints.append(updated, *run, _moment(now), group="outcome")
+
+
 def publish_reports(tickets: DataFrame, as_of: datetime | str, root: str) -> dict[str, str]:
     """Compute the report set over the analysis table and write each report.
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -30,14 +33,23 @@ def local_session(app: str, cores: str | int = "*", shuffle_partitions: int = 8)
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a session that sets no such folder and runs locally gets a temporary one.
+    Only a session that sets no such folder and runs locally gets one of its own, which
+    is removed when the process ends.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return tempfile.mkdtemp(prefix="casewright-")
+    return _own_folder()
+
+
+@functools.cache
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="casewright-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def run_folder(spark: SparkSession, purpose: str) -> str:

@@ -1,66 +1,124 @@
-"""Tables as versioned Parquet snapshots, plus JSON output.
+"""Tables kept as folders of changes, plus JSON and report output.
 
-A snapshot is written to a new folder and becomes current when its marker file, one
-small Parquet row naming the folder, is written. Nothing that is being read is ever
-overwritten, so a lost executor or a repeated run leaves the previous version intact.
+A commit is named by its source and batch and writes nothing but its own rows, so its cost
+does not grow with the table, two writers never meet, and a replayed batch overwrites what
+its first attempt left. Reading takes the latest change of every key. Compaction writes
+the latest state below another root; readers move there between runs.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-_MARKER = T.StructType([
-    T.StructField("version", T.LongType()), T.StructField("folder", T.StringType()),
+from casewright import contracts as C
+
+_ORDER = ("_seq", "_source", "_batch")
+_EXTRA = T.StructType([
+    T.StructField("_group", T.StringType()), T.StructField("_gone", T.BooleanType()),
+    T.StructField("_seq", T.LongType()), T.StructField("_source", T.StringType()),
+    T.StructField("_batch", T.StringType()),
 ])
 
 
 @dataclass(frozen=True)
 class Table:
-    """One table below ``root``; ``schema`` is what an absent table reads as."""
+    """One table below ``root``.
+
+    ``groups`` names sets of columns that change apart (a ticket's record and its document
+    outcome); a key exists once its first group does. ``defaults`` fill nulls of columns
+    that nothing has set.
+    """
 
     spark: SparkSession
     root: str
     name: str
     schema: T.StructType
+    keys: tuple[str, ...]
+    groups: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    defaults: dict[str, object] = field(default_factory=dict)
 
     @property
-    def _versions(self) -> str:
-        return f"{self.root}/{self.name}/_versions"
+    def _groups(self) -> dict[str, tuple[str, ...]]:
+        return self.groups or {"row": tuple(n for n in self.schema.names if n not in self.keys)}
+
+    def _folder(self, source: str, batch: str | int) -> str:
+        return f"{self.root}/{self.name}/changes/{source}/{batch}"
 
-    def current(self) -> tuple[int, str] | None:
-        """Latest committed (version, folder). Reads the markers only."""
+    def changes(self, without: tuple[str, str | int] | None = None) -> DataFrame:
+        """All change rows, but those of one (source, batch)."""
+        schema = T.StructType([*self.schema.fields, *_EXTRA.fields])
         try:
-            markers = self.spark.read.schema(_MARKER).parquet(self._versions)
+            rows = self.spark.read.schema(schema).parquet(f"{self.root}/{self.name}/changes/*/*")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return None
-        latest = markers.orderBy(F.col("version").desc()).first()
-        return (latest["version"], latest["folder"]) if latest else None
-
-    def read(self) -> DataFrame:
-        latest = self.current()
-        if latest is None:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(latest[1])
-
-    def write(self, rows: DataFrame, version: int | None = None) -> int:
-        """Write a snapshot and commit it. Writing a committed version again is a no-op,
-        which makes a replayed batch harmless."""
-        latest = self.current()
-        if version is None:
-            version = 0 if latest is None else latest[0] + 1
-        elif latest is not None and latest[0] >= version:
-            return version
-        folder = f"{self.root}/{self.name}/v{version:08d}"
-        typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
-        rows.select(*typed).write.mode("overwrite").parquet(folder)
-        marker = self.spark.createDataFrame([(version, folder)], _MARKER)
-        marker.coalesce(1).write.mode("append").parquet(self._versions)
-        return version
+            return self.spark.createDataFrame([], schema)
+        if without is None:
+            return rows
+        own = "/{}/{}/".format(*without)
+        files = [f for f in rows.inputFiles() if own not in f]
+        return self.spark.read.schema(schema).parquet(*files) if files else self.spark.createDataFrame([], schema)
+
+    def _latest(self, changes: DataFrame) -> DataFrame:
+        """Keys with the latest change of each group; combines before the shuffle."""
+        order = F.struct(*_ORDER)
+        return changes.groupBy(*self.keys).agg(*[
+            F.max_by(F.struct(*_ORDER, "_gone", *columns), F.when(F.col("_group") == g, order)).alias(f"_{g}")
+            for g, columns in self._groups.items()
+        ])
+
+    def read(self, without: tuple[str, str | int] | None = None) -> DataFrame:
+        """The present rows; ``without`` leaves one commit out, as a replay of it must."""
+        latest, first = self._latest(self.changes(without)), f"_{next(iter(self._groups))}"
+        of = {c: F.col(f"_{g}.{c}") for g, columns in self._groups.items() for c in columns}
+        values = {c: F.coalesce(of[c], F.lit(v)) for c, v in self.defaults.items()}
+        columns = [(F.col(f.name) if f.name in self.keys else values.get(f.name, of.get(f.name)))
+                   .cast(f.dataType).alias(f.name) for f in self.schema.fields]
+        return latest.where(F.col(first).isNotNull() & ~F.col(f"{first}._gone")).select(*columns)
+
+    def append(self, rows: DataFrame, source: str, batch: str | int, seq: str | Column, group: str | None = None,
+               gone: Column | None = None) -> None:
+        """Commit changes: keys and the columns of ``group`` (the first by default). Of
+        changes of one key the one with the largest ``seq`` counts; where ``gone`` holds, the
+        row leaves the table."""
+        group = group or next(iter(self._groups))
+        carried = {*self.keys, *self._groups[group]}
+        typed = [(F.col(f.name) if f.name in carried else F.lit(None)).cast(f.dataType).alias(f.name)
+                 for f in self.schema.fields]
+        rows.select(
+            *typed, F.lit(group).alias("_group"),
+            F.coalesce(gone, F.lit(False)).alias("_gone") if gone is not None else F.lit(False).alias("_gone"),
+            (F.col(seq) if isinstance(seq, str) else seq).cast("long").alias("_seq"),
+            F.lit(source).alias("_source"), F.lit(str(batch)).alias("_batch"),
+        ).write.mode("overwrite").parquet(self._folder(source, batch))
+
+    def compact(self, root: str) -> Table:
+        """The latest state of every key as one commit per group below another root."""
+        target = Table(self.spark, root, self.name, self.schema, self.keys, self.groups, self.defaults)
+        latest = self._latest(self.changes())
+        for group, columns in self._groups.items():
+            state = latest.where(F.col(f"_{group}").isNotNull())
+            target.append(
+                state.select(*self.keys, *[F.col(f"_{group}.{c}").alias(c) for c in (*columns, "_seq", "_gone")]),
+                "compacted", group, "_seq", group, F.col("_gone"),
+            )
+        return target
+
+
+def open_table(spark: SparkSession, root: str, name: str) -> Table:
+    """A table of the contract."""
+    if name == "complaints":
+        record = tuple(f.name for f in C.COMPLAINT_FIELDS if f.name != "ticket_no")
+        return Table(spark, root, name, C.COMPLAINT_SCHEMA, ("ticket_no",),
+                     {"record": record, "outcome": C.DOCUMENT_COLUMNS}, {"document_downloaded": False})
+    schema = {
+        "districts": C.DISTRICT_SCHEMA, "action_history": C.ACTION_SCHEMA,
+        "cell_tracking": C.CELL_TRACKING_SCHEMA, "ticket_tracking": C.TICKET_TRACKING_SCHEMA,
+    }[name]
+    return Table(spark, root, name, schema, tuple(C.UNIQUE_KEYS[name]))
 
 
 def read_jdbc_table(spark: SparkSession, url: str, table: str, key: str, bounds, partitions: int,

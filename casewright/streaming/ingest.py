@@ -1,97 +1,105 @@
 """Incremental ingest of landed envelopes with Structured Streaming.
 
 The file source remembers which landed files it has seen; every micro-batch is unwrapped,
-conformed and merged by key. Merges are idempotent and a table version is tied to its
-batch, so a batch that is replayed after a failure changes nothing. The stream itself
-keeps no state.
+conformed and committed under the identity of the query and the number of the batch. A
+batch that is replayed overwrites its own commit and nothing else; the stream itself keeps
+no state. What was rejected is written before the commit, under the same name.
 """
 
 from __future__ import annotations
 
+import threading
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from casewright import contracts as C
 from casewright.operators import conform, merge
 from casewright.sources.landing import unwrap_envelopes
-from casewright.sources.tables import Table
+from casewright.sources.tables import Table, open_table
 
 
 @dataclass(frozen=True)
 class Feed:
-    """What a landed folder holds and how it enters its table."""
+    """What a landed folder holds and what it changes in its table: rows with
+    ``ingest_seq``, and where a row leaves the table."""
 
     table: str
-    schema: object
     conform: Callable[[DataFrame], conform.Conformed]
-    merge: Callable[[DataFrame, DataFrame], DataFrame]
+    changes: Callable[[Callable[[], DataFrame], DataFrame], tuple[DataFrame, Column | None]]
     landed: str = "value STRING, ingest_seq BIGINT"
 
 
+def _complaint_changes(table, batch: DataFrame):
+    """The last row of a ticket; the table is not read."""
+    return merge.last_in_batch(batch, ["ticket_no"], "ingest_seq"), None
+
+
+def _district_changes(table, batch: DataFrame):
+    loaded = merge.changed(merge.load_districts(table(), batch)).select("dist_id")
+    return merge.last_in_batch(batch, ["dist_id"], "ingest_seq").join(loaded, "dist_id", "left_semi"), None
+
+
+def _action_changes(table, batch: DataFrame):
+    return merge.action_changes(table(), batch, "ingest_seq"), F.col("gone")
+
+
 FEEDS = {
-    "districts": Feed(
-        "districts", C.DISTRICT_SCHEMA, conform.conform_districts, merge.load_districts
-    ),
-    "complaints": Feed(
-        "complaints", C.COMPLAINT_SCHEMA, conform.conform_complaints, merge.merge_complaints
-    ),
-    "actions": Feed(
-        "action_history", C.ACTION_SCHEMA, conform.conform_actions, merge.load_actions,
-        "request_ticket STRING, value STRING, ingest_seq BIGINT",
-    ),
+    "districts": Feed("districts", conform.conform_districts, _district_changes),
+    "complaints": Feed("complaints", conform.conform_complaints, _complaint_changes),
+    "actions": Feed("action_history", conform.conform_actions, _action_changes,
+                    "request_ticket STRING, value STRING, ingest_seq BIGINT"),
 }
 
 
-def apply_batch(feed: Feed, tables: Table, rejects_root: str, envelopes: DataFrame,
-                version: int | None = None) -> int:
-    """Merge one batch of envelopes (``value``, ``ingest_seq`` and, for actions,
-    ``request_ticket``) into the table and append what was rejected."""
+def apply_batch(feed: Feed, table: Table, rejects_root: str, envelopes: DataFrame,
+                source: str, batch: str | int) -> None:
+    """Commit one batch of envelopes (``value``, ``ingest_seq`` and, for actions,
+    ``request_ticket``) and, before it, what was rejected."""
     unwrapped = unwrap_envelopes(envelopes)
     result = feed.conform(unwrapped.records)
-    result.checked.persist()  # read for the merge and for the rejects; lost blocks recompute
+    rejects = f"{rejects_root}/{feed.table}"
+    unwrapped.rejects.write.mode("overwrite").parquet(f"{rejects}/envelopes/{source}/{batch}")
+    result.checked.persist()  # read for the commit and for the rejects; lost blocks recompute
     try:
-        merged = feed.merge(tables.read(), result.valid)
-        written = tables.write(merged, version)
-        # One folder per version, overwritten on replay: a rerun leaves no second copy.
-        result.rejects.write.mode("overwrite").parquet(
-            f"{rejects_root}/{feed.table}/records/v{written:08d}"
-        )
+        result.rejects.write.mode("overwrite").parquet(f"{rejects}/records/{source}/{batch}")
+        rows, gone = feed.changes(lambda: table.read(without=(source, batch)), result.valid)
+        table.append(rows, source, batch, "ingest_seq", gone=gone)
     finally:
         result.checked.unpersist()
-    unwrapped.rejects.write.mode("overwrite").parquet(
-        f"{rejects_root}/{feed.table}/envelopes/v{written:08d}"
-    )
-    return written
 
 
 def start(spark: SparkSession, kind: str, landing: str, root: str, checkpoint: str,
-          files_per_batch: int | None = None):
+          files_per_batch: int = 1000):
     """Start an available-now query over the landed JSON files of one kind.
 
-    Each landed line is a JSON object with the envelope text and its arrival number.
-    Returns the streaming query; await it to finish the backlog.
+    Each landed line is a JSON object with the envelope text and its arrival number. A batch
+    takes ``files_per_batch`` files at most. Returns the streaming query; await it to finish
+    the backlog. A new checkpoint is a new query: it reads all files again and commits them
+    under its own name, which changes nothing.
     """
-    feed = FEEDS[kind]
-    table = Table(spark, root, feed.table, feed.schema)
-    reader = spark.readStream.schema(feed.landed)
-    if files_per_batch is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    feed, table = FEEDS[kind], open_table(spark, root, FEEDS[kind].table)
+    named, names = threading.Event(), []
 
-    def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(feed, table, f"{root}/_rejects", batch, version=batch_id)
+    def commit(batch: DataFrame, batch_id: int) -> None:
+        named.wait()  # the identity of the query is known once it has started
+        apply_batch(feed, table, f"{root}/_rejects", batch, names[0], batch_id)
 
-    return (
-        reader.json(landing).writeStream.foreachBatch(merge_batch)
+    query = (
+        spark.readStream.schema(feed.landed).option("maxFilesPerTrigger", files_per_batch)
+        .json(landing).writeStream.foreachBatch(commit)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
+    names.append(str(query.id))
+    named.set()
+    return query
 
 
-def ingest_once(spark: SparkSession, kind: str, landing: str, root: str) -> int:
+def ingest_once(spark: SparkSession, kind: str, landing: str, root: str, batch: str | None = None) -> None:
     """The same as one plain batch over everything landed."""
     feed = FEEDS[kind]
-    table = Table(spark, root, feed.table, feed.schema)
     envelopes = spark.read.schema(feed.landed).json(landing)
-    return apply_batch(feed, table, f"{root}/_rejects", envelopes)
+    apply_batch(feed, open_table(spark, root, feed.table), f"{root}/_rejects", envelopes,
+                "once", batch or uuid.uuid4().hex)

@@ -51,7 +51,7 @@ def tickets(spark, rows: list[dict]):
     """Analysis rows with defaults for the columns a test does not mention."""
     schema = (
         "ticket_no string, office string, district string, mode string, status_id int, category string, "
-        "dept string, subcategory string, grievance string, petitioner_mobile string, benefitted string, "
+        "dept string, subcategory string, complaint_text string, petitioner_mobile string, benefitted string, "
         "created_on timestamp_ntz, resolved_on timestamp_ntz, escalation_date timestamp_ntz"
     )
     names = [c.split()[0] for c in schema.split(", ")]

@@ -3,8 +3,11 @@ import json
 import pytest
 from helpers import bag, complaint, envelope, frame, ts, values
 
+from pyspark.sql import functions as F
+
 from casewright import contracts as C
 from casewright.operators import conform, quality
+from casewright.plans import weekly
 from casewright.sources import column_json, landing, listing, tables, ticket_lists
 from casewright.streaming import ingest
 
@@ -92,16 +95,38 @@ def test_json_and_report_sinks(spark, tmp_path):
     assert spark.read.parquet(folders["r"]).count() == 1
 
 
-def test_table_snapshots(spark, tmp_path):
-    table = tables.Table(spark, str(tmp_path), "districts", C.DISTRICT_SCHEMA)
-    assert table.read().count() == 0 and table.current() is None
-    first = frame(spark, "dist_id int, dist_name string", (1, "A"))
-    assert table.write(first) == 0
-    merged = table.read().unionByName(frame(spark, "dist_id int, dist_name string", (2, "B")))
-    assert table.write(merged) == 1  # reads version 0 while writing version 1
-    assert values(table.read(), "dist_id") == [1, 2]
-    assert table.write(first, version=1) == 1  # a replay changes nothing
-    assert values(table.read(), "dist_id") == [1, 2]
+def test_table_of_changes(spark, tmp_path):
+    table = tables.open_table(spark, str(tmp_path / "t"), "districts")
+    assert table.read().count() == 0
+    rows = "dist_id int, dist_name string, seq long"
+    table.append(frame(spark, rows, (1, "A", 1), (2, "B", 2)), "s", 0, "seq")
+    table.append(frame(spark, rows, (2, "C", 3)), "other", 0, "seq")  # same batch number, another source
+    assert values(table.read(), "dist_id", "dist_name") == [(1, "A"), (2, "C")]
+    for _ in range(2):  # a replay writes the same commit again
+        table.append(frame(spark, rows, (3, "D", 4), (1, "Z", 0)), "s", 1, "seq")
+    assert values(table.read(), "dist_id", "dist_name") == [(1, "A"), (2, "C"), (3, "D")]
+    assert values(table.read(without=("s", 1)), "dist_id") == [1, 2]
+    table.append(frame(spark, rows, (1, "A", 5)), "s", 2, "seq", gone=F.lit(True))
+    assert values(table.read(), "dist_id") == [2, 3]
+    compacted = table.compact(str(tmp_path / "u"))
+    assert bag(compacted.read()) == bag(table.read())
+    compacted.append(frame(spark, rows, (1, "late", 4)), "s", 3, "seq")  # older than what removed it
+    assert values(compacted.read(), "dist_id") == [2, 3]
+
+
+def test_groups_change_apart(spark, tmp_path):
+    table = tables.open_table(spark, str(tmp_path), "complaints")
+    record = frame(spark, "ticket_no string, status string, seq long", ("T1", "x", 1))
+    full = record.select("*", *[F.lit(None).alias(c) for c in C.COMPLAINT_SCHEMA.names if c not in record.columns])
+    table.append(full, "s", 0, "seq")
+    assert table.read().first()["document_downloaded"] is False
+    outcome = frame(spark, "ticket_no string, local_document_path string, document_downloaded boolean, "
+                    "document_download_date timestamp_ntz, document_download_error string",
+                    ("T1", "p", True, ts("2025-01-01"), None), ("T9", "q", True, None, None))
+    table.append(outcome, "d", 0, F.lit(1), group="outcome")
+    table.append(full.withColumn("status", F.lit("y")), "s", 1, F.lit(2))
+    got = table.read().collect()
+    assert [(r["ticket_no"], r["status"], r["local_document_path"]) for r in got] == [("T1", "y", "p")]
 
 
 # --- conformance ---
@@ -195,27 +220,62 @@ def _land(folder, name, *envelopes):
     ))
 
 
-def test_stream_equals_batch_and_replays_are_harmless(spark, tmp_path):
-    land = tmp_path / "landing"
+def _stream(spark, kind, land, root, checkpoint):
+    ingest.start(spark, kind, str(land), str(root), str(checkpoint), files_per_batch=1).awaitTermination()
+    return tables.open_table(spark, str(root), ingest.FEEDS[kind].table)
+
+
+def test_stream_equals_batch_and_loses_nothing(spark, tmp_path):
+    land, root, checkpoint = tmp_path / "landing", tmp_path / "streamed", tmp_path / "checkpoint"
     _land(land, "1.json", (1, envelope(complaint(), complaint(ticketNumber="T2", govtTicket="?"))))
     _land(land, "2.json", (2, envelope(complaint(StatusName="Disposed"), complaint(ticketNumber="T3"))),
           (3, json.dumps({"status": 400})))
-
-    def stream(root):
-        ingest.start(spark, "complaints", str(land), str(root), str(tmp_path / "checkpoint"),
-                     files_per_batch=1).awaitTermination()
-        return tables.Table(spark, str(root), "complaints", C.COMPLAINT_SCHEMA)
-
-    table = stream(tmp_path / "streamed")
+    table = _stream(spark, "complaints", land, root, checkpoint)
     assert values(table.read(), "ticket_no", "status") == [("T1", "Disposed"), ("T3", "x")]
-    assert table.current()[0] == 1  # two micro-batches
     ingest.ingest_once(spark, "complaints", str(land), str(tmp_path / "batched"))
-    batched = tables.Table(spark, str(tmp_path / "batched"), "complaints", C.COMPLAINT_SCHEMA)
+    batched = tables.open_table(spark, str(tmp_path / "batched"), "complaints")
     assert bag(batched.read()) == bag(table.read())
-    # Nothing new landed: nothing changes. A late file is merged on top.
-    assert bag(stream(tmp_path / "streamed").read()) == bag(batched.read())
-    _land(land, "3.json", (4, envelope(complaint(ticketNumber="T3", StatusName="Disposed"))))
-    again = stream(tmp_path / "streamed")
-    assert values(again.read(), "ticket_no", "status") == [("T1", "Disposed"), ("T3", "Disposed")]
-    rejects = spark.read.parquet(str(tmp_path / "streamed/_rejects/complaints/records/*"))
-    assert rejects.count() == 1
+    # Nothing new landed: nothing changes.
+    assert bag(_stream(spark, "complaints", land, root, checkpoint).read()) == bag(batched.read())
+    # Another writer commits between two batches of the stream; both arrive.
+    weekly.record_downloads(table, frame(
+        spark, "ticket_no string, local_path string, error string, attempt_seq int", ("T1", "a.pdf", None, 1), ("T9", "b", None, 1)),
+        "2025-07-01 12:00:00")
+    _land(land, "3.json", (4, envelope(complaint(ticketNumber="T3", StatusName="Disposed"), complaint(ticketNumber="T4"))))
+    want = [("T1", "Disposed", "a.pdf"), ("T3", "Disposed", None), ("T4", "x", None)]
+    again = _stream(spark, "complaints", land, root, checkpoint)
+    assert values(again.read(), "ticket_no", "status", "local_document_path") == want
+    # A lost checkpoint reads all files again, as another query, and changes nothing.
+    fresh = _stream(spark, "complaints", land, root, tmp_path / "fresh")
+    assert values(fresh.read(), "ticket_no", "status", "local_document_path") == want
+    for kind, n in (("records", 1), ("envelopes", 1)):
+        rejects = spark.read.parquet(str(root / f"_rejects/complaints/{kind}/*/*"))
+        assert rejects.count() == 2 * n and rejects.distinct().count() == n  # once per query
+
+
+def test_complaint_batch_does_not_read_the_table(spark, tmp_path):
+    def table():
+        raise AssertionError("read")
+    batch = frame(spark, "ticket_no string, ingest_seq long", ("T1", 1), ("T1", 2))
+    rows, gone = ingest.FEEDS["complaints"].changes(table, batch)
+    assert gone is None and values(rows, "ticket_no", "ingest_seq") == [("T1", 2)]
+
+
+def test_stream_of_districts_and_actions(spark, tmp_path):
+    _land(tmp_path / "d", "1.json", (1, envelope({"distId": 1, "distName": "A"}, key="distRes")))
+    _land(tmp_path / "d", "2.json", (2, envelope({"distId": 1, "distName": "B"}, {"distId": 2, "distName": "C"}, key="distRes")))
+    districts = _stream(spark, "districts", tmp_path / "d", tmp_path / "t", tmp_path / "cd")
+    assert values(districts.read(), "dist_id", "dist_name") == [(1, "A"), (2, "C")]
+
+    def land_action(name, seq, **changes):
+        record = {"action_taken_by": "u", "action_taken_date": "2025-01-01T10:00:00", "action_taken_remark": "r",
+                  "action_status": "Forward", "complaint_status_with_authority": "Open", **changes}
+        (tmp_path / "a").mkdir(exist_ok=True)
+        (tmp_path / "a" / name).write_text(json.dumps({"request_ticket": "T1", "ingest_seq": seq, "value": envelope(record, key="actionHistory")}))
+
+    land_action("1.json", 1)
+    assert values(_stream(spark, "actions", tmp_path / "a", tmp_path / "t", tmp_path / "ca").read(), "action_taken_remark") == ["r"]
+    land_action("2.json", 2, action_taken_remark="seen")  # shares the date: replaces
+    land_action("3.json", 3, action_taken_remark="later", action_taken_date="2025-01-02T10:00:00")
+    table = _stream(spark, "actions", tmp_path / "a", tmp_path / "t", tmp_path / "ca")
+    assert values(table.read(), "action_taken_remark") == ["later", "seen"]

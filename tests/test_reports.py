@@ -55,11 +55,11 @@ def test_shares_sum_over_all_groups(spark):
 
 def test_topic_reports(spark):
     rows = tickets(spark, [
-        {"category": "Social Welfare", "dept": "D", "grievance": "New house"},
-        {"category": "Social Welfare", "dept": "D", "grievance": "my land"},
-        {"category": "Social Welfare", "dept": "D", "grievance": "ଆର୍ଥିକ house"},
-        {"category": "Social Welfare", "dept": "E", "grievance": "ration card", "subcategory": None}])
-    assert values(reports.topic_mix(rows, "Social Welfare", "D"), "grievance_category", "count", "percent") == [
+        {"category": "Social Welfare", "dept": "D", "complaint_text": "New house"},
+        {"category": "Social Welfare", "dept": "D", "complaint_text": "my land"},
+        {"category": "Social Welfare", "dept": "D", "complaint_text": "ଆର୍ଥିକ house"},
+        {"category": "Social Welfare", "dept": "E", "complaint_text": "ration card", "subcategory": None}])
+    assert values(reports.topic_mix(rows, "Social Welfare", "D"), "topic", "count", "percent") == [
         ("Housing", 1, 50.0), ("Other", 1, 50.0)]
     assert reports.topic_mentions(rows, "Other", "D", "land").first()[0] == 1
     assert reports.topic_outside_subcategory(rows, "Ration Card", "Ration Card Issue").count() == 1
@@ -74,7 +74,9 @@ def test_channel_reports(spark):
     assert reports.resolution_times(rows, AS_OF, anchor=None).count() == 2
     table = {r[0]: tuple(r)[1:] for r in reports.mode_summary_table(rows.where("mode <> 'Email'"), AS_OF).collect()}
     assert table == {"online": (2, 1, 50.0, 1.0, 1.0), "offline": (1, 0, 0.0, None, 10.0), "freetext": (0, 0, 0.0, None, None)}
-    assert [r.asDict() for r in reports.office_mode_pct(rows).where("office = 'A'").collect()] == [
+    assert values(reports.office_mode_shares(rows), "office", "mode", "count", "percent") == [
+        ("A", "Phone", 1, 25.0), ("A", "Physical", 1, 25.0), ("A", "Website", 2, 50.0), ("B", "Email", 1, 100.0)]
+    assert [r.asDict() for r in reports.office_mode_pct(rows, ["Email", "Phone", "Physical", "Website"]).where("office = 'A'").collect()] == [
         {"office": "A", "Email": 0.0, "Phone": 25.0, "Physical": 25.0, "Website": 50.0}]
     summary = reports.office_channel_summary(rows).collect()
     assert [(r["office"], r["online_count"], r["online_percent"]) for r in summary] == [("A", 2, 66.7), ("B", 0, 0.0)]
@@ -82,7 +84,7 @@ def test_channel_reports(spark):
 
 
 def test_report_catalogue_runs_and_leaves_input_alone(spark):
-    rows = tickets(spark, [{"category": "General", "dept": "D", "grievance": "x", "resolved_on": "2025-02-01"}])
+    rows = tickets(spark, [{"category": "General", "dept": "D", "complaint_text": "x", "resolved_on": "2025-02-01"}])
     before = rows.columns
     for name, report in reports.report_catalogue(rows, AS_OF).items():
         assert report.columns, name
@@ -91,14 +93,14 @@ def test_report_catalogue_runs_and_leaves_input_alone(spark):
 
 
 def test_text_profiles(spark):
-    rows = tickets(spark, [{"grievance": "Financial help"}] * 12 + [{"grievance": "."}] * 11
-                   + [{"grievance": "One"}, {"grievance": "one"}, {"grievance": None}])
-    flags = {r["grievance"]: (r["count"], r["repeated_grievance"], r["classified_grievance"]) for r in profile.text_flags(rows).collect()}
+    rows = tickets(spark, [{"complaint_text": "Financial help"}] * 12 + [{"complaint_text": "."}] * 11
+                   + [{"complaint_text": "One"}, {"complaint_text": "one"}, {"complaint_text": None}])
+    flags = {r["complaint_text"]: (r["count"], r["repeated_text"], r["classified_text"]) for r in profile.text_flags(rows).collect()}
     assert flags == {"Financial help": (12, True, True), ".": (11, True, False), "One": (1, False, False), "one": (1, False, False)}
     assert [tuple(r) for r in profile.repeated_share(rows).collect()] == [("Website", 23, 26, 88.46)]
     assert [tuple(r) for r in profile.classified_share(rows).collect()] == [("Website", 12, 26, 46.15)]
     assert tuple(profile.distinct_text_totals(rows).first()) == (3, 25, 25)
-    assert values(profile.mode_texts(rows, "Website", "repeated"), "grievance", "count") == [(".", 11), ("financial help", 12), ("one", 2)]
+    assert values(profile.mode_texts(rows, "Website", "repeated"), "complaint_text", "count") == [(".", 11), ("financial help", 12), ("one", 2)]
     assert tuple(profile.mode_text_summary(rows).first()) == ("Website", 25, 3, 3, 100.0)
 
 
@@ -106,7 +108,7 @@ def test_senders(spark):
     rows = tickets(spark, [{"mode": "Whatsapp", "petitioner_mobile": "1", "created_on": f"2025-01-{30 - i}"} for i in range(12)]
                    + [{"mode": "Whatsapp", "petitioner_mobile": "2"}, {"mode": "Whatsapp"}, {"petitioner_mobile": "1"}])
     assert tuple(profile.heavy_senders(rows, "Whatsapp").first()) == (12, 14, 85.7)
-    sent = [r["created_on"] for r in profile.repeat_sender_rows(rows, "Whatsapp").collect()]
+    sent = [r["created_on"] for r in profile.repeat_sender_rows(rows.coalesce(1), "Whatsapp").collect()]
     assert len(sent) == 12 and sent == sorted(sent)
 
 

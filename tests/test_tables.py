@@ -2,7 +2,7 @@ from helpers import bag, frame, ts, values
 from pyspark.sql import functions as F
 
 from casewright import contracts as C
-from casewright.operators import documents, lookup, merge, spread, tracking
+from casewright.operators import documents, lookup, merge, tracking
 
 D = "dist_id int, dist_name string"
 DB = D + ", ingest_seq int"
@@ -18,21 +18,6 @@ def settled(merged):
     return merged.drop("action")
 
 
-# --- joins with hot keys ---
-
-
-def test_split_join_equals_plain_join(spark):
-    facts = spark.range(1000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 50 == 1, F.lit(None))
-        .otherwise(F.col("id") % 40).cast("int").alias("k"), "id",
-    )
-    lookup_rows = spark.range(0, 60, 2).select(F.col("id").cast("int").alias("k"), (F.col("id") * 10).alias("v")).union(
-        spark.createDataFrame([(7, 70)], "k int, v bigint"))
-    assert values(spread.hot_keys(facts, ["k"], 10), "k") == [7]
-    for how in ("left_semi", "left_anti", "inner", "left"):
-        assert bag(spread.split_join(facts, lookup_rows, ["k"], how, 10)) == bag(facts.join(lookup_rows, "k", how)), how
-
-
 # --- districts ---
 
 
@@ -87,6 +72,7 @@ def test_merge_complaints(spark):
         ("T1", "done", None, "kept.pdf", True, "update"), ("T2", "new", "b", "kept.pdf", True, "kept"),
         ("T3", "new", None, "kept.pdf", True, "noop"), ("T4", "new", None, None, False, "insert")], key=repr)
     assert values(merge.changed(merged), "ticket_no") == ["T1", "T4"]
+    assert bag(merge.changed_complaints(stored, batch)) == bag(merge.changed(merged))
     again = merge.merge_complaints(settled(merged), batch)
     assert bag(settled(again)) == bag(settled(merged)) and merge.changed(again).count() == 0
     shuffled = merge.merge_complaints(stored.orderBy(F.rand(1)), batch.repartition(3).orderBy(F.rand(2)))

@@ -64,7 +64,7 @@ def test_weekly_run(spark, tmp_path):
 def test_publish_reports(spark, tmp_path):
     from helpers import tickets
 
-    rows = tickets(spark, [{"category": "General", "dept": "D", "grievance": "x"}])
+    rows = tickets(spark, [{"category": "General", "dept": "D", "complaint_text": "x"}])
     folders = weekly.publish_reports(rows, "2025-06-22", str(tmp_path / "reports"))
     assert spark.read.parquet(folders["overall_stats"]).where(F.col("office") == "A").count() == 1
     assert len(folders) == 17
