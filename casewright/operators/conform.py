@@ -96,12 +96,16 @@ def conform(records: DataFrame, fields: tuple[C.Field, ...], record: str = "reco
     given = given or {}
     carried = [c for c in records.columns if c not in (record, *given.values())]
     read = [f for f in fields if f.name not in given]
-    # Each field is read from the record once; the rules only look at the results.
-    extracted = records.select(
+    # The record is opened once, as a map, and each field looked up once; the rules only
+    # look at the results. What is no object has no fields.
+    opened = records.select(
+        *carried, record, *given.values(), F.expr(f"TRY_CAST({record} AS MAP<STRING, VARIANT>) AS _fields"))
+    fields_of = opened.select(
+        *carried, record, *given.values(), *[F.expr(f"_fields['{f.wire}'] AS _value_{f.name}") for f in read])
+    extracted = fields_of.select(
         *carried, record, *given.values(),
-        *[F.expr(f"schema_of_variant(variant_get({record}, '$.{f.wire}', 'variant')) AS _type_{f.name}")
-          for f in read],
-        *[F.expr(f"try_variant_get({record}, '$.{f.wire}', 'string') AS _text_{f.name}") for f in read],
+        *[F.expr(f"schema_of_variant(_value_{f.name}) AS _type_{f.name}") for f in read],
+        *[F.expr(f"try_variant_get(_value_{f.name}, '$', 'string') AS _text_{f.name}") for f in read],
     )
     values, errors = [], []
     for field in fields:
