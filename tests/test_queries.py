@@ -26,7 +26,7 @@ def test_query(spark, con, name):
 
 
 def test_entry(spark):
-    assert entry.entry(spark).count() == 5
+    assert entry.entry(spark).count() == 7
 
 
 def test_sql_belongs_to_queries():
