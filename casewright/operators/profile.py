@@ -96,16 +96,15 @@ def month_counts(tickets: DataFrame) -> DataFrame:
 
 
 def _by_text(tickets: DataFrame, *keys: str, carry: bool = False) -> DataFrame:
-    """Rows ``n`` and ``length`` per text (and keys); ``carry`` brings the text along.
+    """Rows ``n`` and ``length`` per text (and keys).
 
-    Texts are compared by SHA-256 and length, so they are no shuffle keys; a carried one
-    moves once per task and group. A null text is a group of its own.
+    Texts are compared by four 64-bit hashes and their length, so none is shuffled. With
+    ``carry`` the text itself is the key, as it has to move anyway. A null text is a group
+    of its own, without length.
     """
     text = F.col("complaint_text")
-    texts = [F.any_value(text).alias("complaint_text")] if carry else []
-    return tickets.groupBy(
-        *keys, F.unhex(F.sha2(text, 256)).alias("digest"), F.length(text).alias("length")
-    ).agg(F.count("*").alias("n"), *texts)
+    by = ["complaint_text"] if carry else [F.xxhash64(F.lit(i), text).alias(f"hash_{i}") for i in range(4)]
+    return tickets.groupBy(*keys, *by, F.length(text).alias("length")).agg(F.count("*").alias("n"))
 
 
 def text_flags(tickets: DataFrame, more_than: int = 10, longer_than: int = 10) -> DataFrame:
@@ -120,7 +119,7 @@ def text_flags(tickets: DataFrame, more_than: int = 10, longer_than: int = 10) -
 def _flagged_share(tickets: DataFrame, flag: str, more_than: int, longer_than: int) -> DataFrame:
     """Per mode: rows whose text is flagged, all rows, percent (modes with none left out)."""
     texts = _by_text(tickets.where(F.col("mode").isNotNull()), "mode")
-    repeated = F.col("digest").isNotNull() & (F.col("n") > more_than)
+    repeated = F.col("length").isNotNull() & (F.col("n") > more_than)
     condition = repeated & (F.col("length") > longer_than) if flag == "classified" else repeated
     flagged = F.sum(F.when(condition, F.col("n")))
     return (

@@ -132,10 +132,12 @@ def tickets(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     if "doc" in needed:
         docs = read(spark, sf_dir, "documents").select("doc_id", "text")
         n_docs = docs.select(F.count("*")).scalar()
-        # A text is some 60 times as wide as the row it joins; spreading the rows first
-        # keeps the tasks behind the join even.
+        # A text is some 60 times as wide as the row it joins. Sizes seen before the join
+        # would merge the rows into one or two tasks (e12 at sf0.1: 14 s without the number
+        # of partitions, 4 s with it), so the session's number is kept here.
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         rows = rows.withColumn("n_docs", n_docs)
-        rows = rows.withColumn("_doc", F.expr("o_orderkey % n_docs")).repartition("_doc")
+        rows = rows.withColumn("_doc", F.expr("o_orderkey % n_docs")).repartition(parts, "_doc")
         rows = rows.join(docs, F.expr("_doc = doc_id"), "left")
     return rows.select(*[F.expr(TICKET_COLUMNS[c][1]).alias(c) for c in columns])
 
