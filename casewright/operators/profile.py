@@ -81,6 +81,38 @@ def column_sketch(table: DataFrame, log2_registers: int = 12, accuracy: int = 10
     return table.agg(F.array(*rows).alias("_rows")).select(F.inline("_rows"))
 
 
+def sketch_check(table: DataFrame, log2_registers: int = 12, accuracy: int = 1000) -> DataFrame:
+    """The sketch against exact figures: ``column_name, distinct_exact, distinct_close, quartiles_close``.
+
+    Distinct values (as text) are counted exactly, by two 64-bit hashes; close is within
+    three standard errors. A quartile is close if its share lies within ``1 / accuracy`` of
+    the rank range of its value; null for columns that are not numeric.
+    """
+    sketch = column_sketch(table, log2_registers, accuracy).collect()  # one row per column
+    values = table.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in table.columns
+    ])).alias("x")).select("x.*")
+    hashes = [F.when(F.col("v").isNotNull(), F.xxhash64(F.lit(i), "v")) for i in range(2)]
+    exact = values.groupBy("column_name").agg(F.count_distinct(*hashes).alias("distinct_exact"))
+    ranks = []
+    for row in sketch:
+        c, marks = F.col(row["column_name"]), (row["p25"], row["p50"], row["p75"])
+        close = F.lit(None).cast("boolean")
+        if None not in marks:
+            close = F.lit(True)
+            for share, mark in zip((0.25, 0.5, 0.75), marks, strict=True):
+                below, upto = F.count_if(c < mark) / F.count(c), F.count_if(c <= mark) / F.count(c)
+                close &= (below <= share + 1 / accuracy) & (upto >= share - 1 / accuracy)
+        ranks.append(F.struct(F.lit(row["column_name"]).alias("name"), F.lit(row["distinct_values"]).alias("estimate"),
+                              close.alias("quartiles_close")))
+    checked = table.agg(F.array(*ranks).alias("_rows")).select(F.inline("_rows"))
+    error = 3 * 1.04 / 2 ** (log2_registers / 2)
+    return exact.join(checked, F.col("column_name") == F.col("name")).select(
+        "column_name", "distinct_exact",
+        (F.abs(F.col("estimate") - F.col("distinct_exact")) <= error * F.col("distinct_exact")).alias("distinct_close"),
+        "quartiles_close")
+
+
 # --- dates ----------------------------------------------------------------------------------------
 
 

@@ -65,6 +65,18 @@ def _(spark, sf):
     return profile.column_sketch(fx.tickets(spark, sf, *_PROFILED))
 
 
+def _sketch_check_sql() -> str:
+    numeric = ("status_id", "seq")
+    return with_ctes(t(*_PROFILED), " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS distinct_exact, TRUE AS distinct_close, "
+        f"{'TRUE' if c in numeric else 'CAST(NULL AS BOOLEAN)'} AS quartiles_close FROM tickets" for c in _PROFILED))
+
+
+@query("e3_sketch_check", _sketch_check_sql())
+def _(spark, sf):
+    return profile.sketch_check(fx.tickets(spark, sf, *_PROFILED))
+
+
 @query("e4_missing_block_on_website", with_ctes(t("mode", "block"),
        "SELECT count(*) FILTER (mode = 'Website' AND block IS NULL) AS missing FROM tickets"))
 def _(spark, sf):

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from casewright import contracts as C
+from casewright.operators import reports
 from casewright.plans import fixtures as fx, weekly
-from casewright.plans.registry import query, with_ctes
+from casewright.plans.registry import ENTRIES, query, with_ctes
 from casewright.plans.report_queries import OVERALL_SQL, t
 from casewright.session import run_folder
 from casewright.sources import tables
@@ -45,3 +46,37 @@ def _(spark, sf):
     rows = spark.read.parquet(f"{folder}/tickets")
     folders = weekly.publish_reports(rows, fx.AS_OF, f"{folder}/published")
     return spark.read.parquet(folders["overall_stats"])
+
+
+# Published report -> query with the same rows.
+_REPORT_QUERIES = {
+    "overall_stats": "a2_overall_stats", "status2_stats": "a4_disposal_by_office",
+    "category_overview": "a7_category_overview", "social_welfare_departments": "a7_social_welfare_departments",
+    "topic_mix": "a7_topic_mix", "resolution_times": "a8_resolution_times", "avg_time_metrics": "a3_avg_time_metrics",
+    "mode_summary": "a9_mode_summary", "office_mode_shares": "a10_office_mode_shares",
+    "office_channel_summary": "a10_office_channel_summary",
+    "benefitted_pct_by_channel": "a12_benefitted_pct_by_channel",
+} | {f"{c}_by_{k}": f"a13_{c}_by_{k}" for c in ("online", "offline") for k in ("office", "dept", "category")}
+
+
+def _lines_sql(report: str, rows: str) -> str:
+    return f"""SELECT '{report}' AS report, array_to_string(list_transform(list_sort(json_keys(j)),
+ lambda k: k || '=' || coalesce(json_extract_string(j, '$."' || k || '"'), 'null')), ';') AS line
+ FROM (SELECT to_json(r) AS j FROM ({rows}) r)"""
+
+
+@query("s12_report_run", " UNION ALL ".join(_lines_sql(r, ENTRIES[q].sql) for r, q in _REPORT_QUERIES.items()))
+def _(spark, sf):
+    """From status feeds through the analysis table to every published report, each read
+    back, one line of ``column=value`` per row."""
+    folder = run_folder(spark, "report-run")
+    reports.analysis_table(fx.feeds(spark, sf, *_REPORTED, "escalation_date")).write.parquet(f"{folder}/tickets")
+    folders = weekly.publish_reports(spark.read.parquet(f"{folder}/tickets"), fx.AS_OF, f"{folder}/published")
+    lines = None
+    for name, path in folders.items():
+        report = spark.read.parquet(path)
+        said = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("null")))
+                for c in sorted(report.columns)]
+        part = report.select(F.lit(name).alias("report"), F.concat_ws(";", *said).alias("line"))
+        lines = part if lines is None else lines.unionByName(part)
+    return lines
