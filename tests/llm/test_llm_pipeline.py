@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 from collections import Counter
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 import test_llm_operators as plain
-from casewright.llm import catalog, language_id, mixing
+from casewright.llm import catalog, language_id, mixing, near_copies
 from casewright.llm.common import table, written
 from tools.check_queries import compare, connect
 
@@ -99,6 +100,42 @@ def test_near_copies_keep_one_row_each(spark):
     assert max(got.values()) == 1 and (1, text) in got and (None, "x y") in got and (9, "other") in got
 
 
+def plain_shingles(text):
+    words = text.encode().lower().split()
+    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+@pytest.mark.parametrize("crowd", [3, 64])
+def test_near_copies_are_those_of_brute_force_jaccard(spark, crowd):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefgh", k=4))
+    line, texts = [word() for _ in range(60)], []
+    for size in (7, 30, 90, 400):
+        for lead in ([], line, line[:20]):
+            base = lead + [word() for _ in range(size)]
+            for edits in (0, 0, 1, 1, 2, 3, 5, 8):
+                copy = list(base)
+                for _ in range(edits):
+                    copy[rng.randrange(len(copy))] = word()
+                texts.append(" ".join(copy))
+    texts += [" ".join(line), "", " ", "Two words", "two  words", "two other"]
+    sets = [plain_shingles(t) for t in texts]
+    links = {(i, j) for i in range(len(sets)) for j in range(i)
+             if sets[i] == sets[j] or 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])}
+    root = list(range(len(sets)))
+    for _ in root:
+        for i, j in links:
+            root[i] = root[j] = min(root[i], root[j])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("k", F.col("doc_id"))
+    got = near_copies.near_copies(docs, carry=["k"], crowd=crowd, common=3).collect()
+    least = {}
+    for r in got:
+        least[r["root"]] = min(r["doc_id"], least.get(r["root"], r["doc_id"]))
+    assert len(got) == len(texts) and {r["doc_id"]: least[r["root"]] for r in got} == dict(enumerate(root))
+    frame = docs.select("doc_id", "text", F.lit("en").alias("lang"), F.lit("s").alias("source"))
+    assert {i for i, _ in kept(corpus_pipeline.drop_near_copies(spark, frame, SF))} == set(root)
+
+
 def test_stages_take_empty_tables(spark):
     docs = table(spark, SF, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
