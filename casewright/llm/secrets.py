@@ -60,7 +60,7 @@ def ratio(token: Column, model: Model) -> Column:
 
 
 def fit(docs: DataFrame, text_col: str = "text", rows: int = 20_000, least: int = 1000, prior: float = 20.0,
-        within: float = 0.9999) -> Model:
+        rounds: int = 6) -> Model:
     """Train both models on a bounded sample of labelled strings.
 
     The sample are about ``rows`` documents, by a hash of their text. What the fixed
@@ -69,7 +69,10 @@ def fit(docs: DataFrame, text_col: str = "text", rows: int = 20_000, least: int
     (at most 128 x 128 of either label) are smoothed with ``prior`` observations: of the
     even alphabet for random strings, of single characters for ordinary ones. A missing
     label leaves an even model. The least ratio of a random token is ``least`` thousandths a
-    pair, or what the share ``within`` of ordinary strings stays below, if that is more.
+    pair, whatever the sample holds. The ordinary strings may include the random ones that
+    are sought: their model is fitted again to the half that looked least random, then, for
+    ``rounds`` at most, to all that stay below the least ratio. Strings sought may be up to
+    half of the distinct ones.
     """
     n = docs.count()
     text = F.col(text_col)
@@ -85,25 +88,32 @@ def fit(docs: DataFrame, text_col: str = "text", rows: int = 20_000, least: int
         F.struct(F.lit(1).alias("label"), F.concat(assigned, "fixed").alias("v")),
         F.struct(F.lit(0).alias("label"), F.col("other").alias("v")),
     )).alias("s")).select("s.label", F.explode("s.v").alias("v")).distinct(), "secret-strings")
-    counts = strings.select("label", F.explode(_pairs(F.col("v"))).alias("p")).groupBy("label", "p").count().collect()
-
     alphabet = [ord(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"]
-    seen = {(r["label"], r["p"]): r["count"] for r in counts}
-
-    from_a = {(k, a): sum(seen.get((k, a * _CODES + b), 0) for b in alphabet) for k in (0, 1) for a in alphabet}
-    to_b = {b: 1 + sum(seen.get((0, a * _CODES + b), 0) for a in alphabet) for b in alphabet}
-    single = {b: n / sum(to_b.values()) for b, n in to_b.items()}
-
-    ratios = [0] * (_CODES * _CODES)
-    for a in alphabet:
-        for b in alphabet:
-            pair = a * _CODES + b
-            random = (seen.get((1, pair), 0) + prior / len(alphabet)) / (from_a[1, a] + prior)
-            ordinary = (seen.get((0, pair), 0) + prior * single[b]) / (from_a[0, a] + prior)
-            ratios[pair] = round(1000 * math.log(random / ordinary))
-    model = Model(tuple(ratios), least)
-    most = strings.where("label = 0").agg(F.percentile(ratio(F.col("v"), model), F.lit(within))).first()[0]
-    return Model(model.ratios, max(least, math.floor(most or 0) + 1))
+
+    def trained(strings: DataFrame) -> Model:
+        counts = strings.select("label", F.explode(_pairs(F.col("v"))).alias("p")).groupBy("label", "p").count().collect()
+        seen = {(r["label"], r["p"]): r["count"] for r in counts}
+        from_a = {(k, a): sum(seen.get((k, a * _CODES + b), 0) for b in alphabet) for k in (0, 1) for a in alphabet}
+        to_b = {b: 1 + sum(seen.get((0, a * _CODES + b), 0) for a in alphabet) for b in alphabet}
+        single = {b: n / sum(to_b.values()) for b, n in to_b.items()}
+
+        ratios = [0] * (_CODES * _CODES)
+        for a in alphabet:
+            for b in alphabet:
+                pair = a * _CODES + b
+                random = (seen.get((1, pair), 0) + prior / len(alphabet)) / (from_a[1, a] + prior)
+                ordinary = (seen.get((0, pair), 0) + prior * single[b]) / (from_a[0, a] + prior)
+                ratios[pair] = round(1000 * math.log(random / ordinary))
+        return Model(tuple(ratios), least)
+
+    model = trained(strings)
+    most = strings.where("label = 0").agg(F.percentile(ratio(F.col("v"), model), F.lit(0.5))).first()[0]
+    for _ in range(rounds if most is not None else 0):
+        last, model = model, trained(strings.where((F.col("label") == 1) | (ratio(F.col("v"), model) <= most)))
+        if model == last:
+            break
+        most = least - 1
+    return model
 
 
 def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -260,6 +260,18 @@ def test_secret_spans(spark):
         assert [s for s in r["spans"].split(",") if s and not s.startswith("random")] == [s for s in said.split(",") if s]
 
 
+@pytest.mark.parametrize("n", [1, 20, 200])
+def test_secrets_of_the_fitted_table_are_found(spark, n):
+    rng = random.Random(n)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = [(10**6 + i, f"see {''.join(rng.choices(letters, k=32))} there") for i in range(n)]
+    docs = table(spark, SF.replace("0.001", "0.1"), "documents").select("doc_id", "text")
+    docs = docs.union(spark.createDataFrame(keys, docs.schema))
+    got = secrets.scan(docs, secrets.fit(docs)).where("n_random > 0").select("doc_id").collect()
+    found = [r["doc_id"] for r in got if r["doc_id"] >= 10**6]
+    assert len(found) >= 0.95 * n and len(got) - len(found) <= 5
+
+
 def test_secret_markov_model(spark):
     rng = random.Random(3)
     tokens = [base64.b64encode(rng.randbytes(24)).decode() for _ in range(60)]
