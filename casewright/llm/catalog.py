@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from casewright.llm import chat, decontaminate, exact_dedup, language_id, language_model, mixing, secrets, simhash, token_files, toxicity
+from casewright.llm import (
+    chat, decontaminate, exact_dedup, language_id, language_model, lexical_search, mixing, secrets, simhash,
+    substring_dedup, token_alignment, token_files, toxicity,
+)
 from casewright.llm.common import fold, table
 from casewright.plans.registry import Entry
 
@@ -75,3 +78,22 @@ def _(spark, sf):
 @_query("op10_language_model")
 def _(spark, sf):
     return language_model.score(table(spark, sf, "documents"), fold(F.col("doc_id"), 7) == 2)
+
+
+@_query("op11_lexical_search", lexical_search.SQL)
+def _(spark, sf):
+    return lexical_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@_query("op12_substring_dedup", substring_dedup.SQL)
+def _(spark, sf):
+    found = substring_dedup.without_repeats(table(spark, sf, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["first"])
+    return found.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query("op13_token_alignment")
+def _(spark, sf):
+    aligned = token_alignment.align(table(spark, sf, "documents"))
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    return aligned.withColumn("groups_sha256", digest).drop("groups")

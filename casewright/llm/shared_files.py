@@ -6,6 +6,8 @@ mounted folder are memory-mapped, others are read.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
@@ -51,3 +53,24 @@ def array(buffer: pa.Buffer, kind: str, start: int = 0, count: int = -1) -> np.n
     if count == 0 or buffer.size == start:
         return np.empty(0, np.dtype(kind).newbyteorder("<"))
     return np.frombuffer(buffer, np.dtype(kind).newbyteorder("<"), count=count, offset=start)
+
+
+class Pieces:
+    """Reads parts of one file by place; neighbouring parts cost one read."""
+
+    def __init__(self, path: str, ahead: int = 4 << 20):
+        store, inner = _resolve(path)
+        self._file = pa.memory_map(inner) if isinstance(store, fs.LocalFileSystem) else store.open_input_file(inner)
+        self._ahead, self._start, self._held = ahead, 0, b""
+
+    def get(self, start: int, length: int) -> bytes:
+        a = start - self._start
+        if a < 0 or a + length > len(self._held):
+            self._start, a = start, 0
+            self._held = self._file.read_at(max(length, self._ahead), start)
+        return self._held[a:a + length]
+
+
+@functools.lru_cache(maxsize=8)
+def pieces(path: str) -> Pieces:
+    return Pieces(path)
