@@ -105,7 +105,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for a, b in _cut([sizes[i] for i in order], block_docs, block_bits, bits):
             own = order[a:b]
             width = max(64, bits * sizes[own[-1]])
-            places = list(writer.add([texts[i] for i in own]))
+            places = writer.add([texts[i] for i in own])
             n = [int(hashed[i][1].sum()) for i in own]
             row = {"width": width, "total": sum(n), "n": n, "most": [int(hashed[i][1].max()) for i in own],
                    "slices": _signature([hashed[i] for i in own], width, probes), "stored": writer.path,

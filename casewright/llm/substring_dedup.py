@@ -110,6 +110,8 @@ def _shared_anchors(rows: DataFrame) -> DataFrame:
     text = F.conv(F.hex(F.substring("whole", 1, 8)), 16, -10).cast("long")
     placed = rows.select("no", text.alias("same"), F.posexplode("anchors").alias("at", "anchor"))
     several = placed.groupBy("anchor").agg(F.min("same").alias("a"), F.max("same").alias("b")).where("a != b").select("anchor")
+    # Written, so that the join reads plain exchanges, which adaptive execution splits where a key is hot.
+    several = written(several, "repeat-anchors")
     return placed.select("no", "at", "anchor").join(several, "anchor", "left_semi").groupBy("no").agg(
         F.collect_set("at").alias("anchors"))
 
@@ -185,6 +187,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = _windows(marked, window, period)
     several = found.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")).where(
         "n > 1 AND least IS NOT NULL").select("h1", "h2", "least")
+    several = written(several, "repeat-windows")
     repeats = found.join(several, ["h1", "h2"]).where("doc_id IS NULL OR doc_id > least").groupBy("no").agg(
         F.sort_array(F.collect_list("start")).alias("starts"))
     spans = written(repeats.select(F.col("no").alias("same_as"), "starts").mapInArrow(

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import functools
 import io
+import itertools
 import json
 import os
 import re
@@ -110,16 +111,27 @@ class TokenizerPair:
             how.get("normalizer") is None and splitter.get("type") == "ByteLevel" and splitter.get("use_regex", True)
             and not splitter.get("add_prefix_space") and self.b.encode("a", out_type=str)[0].startswith("▁")
             and all("▁" not in n.lstrip("▁") for n in names))
-        self._shown = [str(i).encode() for i in range(max(len(self.a_bytes), self.n_b))]
+        shown = [str(i) for i in range(max(len(self.a_bytes), self.n_b))]
+        self._shown = np.array([[(i + mark).encode() for i in shown] for mark in (",", "|", ";", "")], object)
+        self._widths = np.array([len(i) for i in shown], np.int64)
         self.clear()
 
     def clear(self) -> None:
         self.number: dict[str, int] = {}
-        self.valid: list[bool] = []
-        self.groups: list[bytes] = []
-        self.links: list[np.ndarray] = []
-        self.sizes: list[tuple[int, int, int]] = []  # tokens of A, of B, groups
         self.bytes = 0
+        self._text, self._links = [], []  # pools that the ends below refer to
+        self.valid = np.zeros(0, bool)
+        self.sizes = np.zeros((0, 3), np.int64)  # tokens of A, of B, groups
+        self.link_ends = np.zeros(1, np.int64)
+        self.text_ends = np.zeros(1, np.int64)
+
+    def links(self) -> np.ndarray:
+        """Link keys of all pieces, split by ``link_ends``."""
+        return np.concatenate([np.zeros(0, np.int64), *self._links])
+
+    def text(self) -> bytes:
+        """Groups of all pieces, split by ``text_ends``."""
+        return b"".join(self._text)
 
     def pieces(self, text: str) -> list[str]:
         return _BREAK.split(text) if self.cuts else [text]
@@ -131,49 +143,58 @@ class TokenizerPair:
             return
         a_ids = [e.ids for e in self.a.encode_batch_fast([" " + t for t in new], add_special_tokens=False)]
         b_ids = self.b.encode(new, num_threads=1)
-        a_of, b_of, ok = self.a_bytes.__getitem__, self.b_bytes.__getitem__, []
-        for t, x, y in zip(new, a_ids, b_ids, strict=True):
-            whole = b" " + t.encode()
-            ok.append(b"".join(map(a_of, x)) == whole and b"".join(map(b_of, y)) == whole)
-        a_ids, b_ids = ([x for x, k in zip(ids, ok, strict=True) if k] for ids in (a_ids, b_ids))
-        aligned = zip(*self._aligned(a_ids, b_ids), strict=True)
-        for t, k in zip(new, ok, strict=True):
-            self.number[t] = len(self.valid)
-            groups, links, sizes = next(aligned) if k else (b"", np.zeros(0, np.int64), (0, 0, 0))
-            self.valid.append(k)
-            self.groups.append(groups)
-            self.links.append(links)
-            self.sizes.append(sizes)
-            self.bytes += 400 + len(t) + len(groups) + 8 * len(links)
-
-    def _aligned(self, a_ids: list[list[int]], b_ids: list[list[int]]):
-        """Groups as text, link keys and sizes of each piece."""
-        if not a_ids:
-            return [], [], []
-        a, b = (np.concatenate([np.array(x, np.int64) for x in ids]) for ids in (a_ids, b_ids))
-        parts = np.column_stack([np.cumsum([len(x) for x in a_ids]), np.cumsum([len(x) for x in b_ids])])
+        spaced = [b" " + t.encode() for t in new]
+        n_a, n_b, n = (np.fromiter(map(len, x), np.int64, len(new)) for x in (a_ids, b_ids, spaced))
+        a, b = (np.fromiter(itertools.chain.from_iterable(x), np.int64) for x in (a_ids, b_ids))
+        ok = np.ones(len(new), bool)
+        for ids, table, sizes, counts in ((a, self.a_bytes, self.a_sizes, n_a), (b, self.b_bytes, self.b_sizes, n_b)):
+            ends = np.concatenate(([0], np.cumsum(counts)))
+            given = [table[i] for i in ids.tolist()]
+            # Equal in length piece by piece and equal as a whole: all are equal.
+            if not ((_sums(sizes[ids], ends) == n).all() and b"".join(given) == b"".join(spaced)):
+                edge = ends.tolist()
+                ok &= [b"".join(given[x:y]) == w for x, y, w in zip(edge[:-1], edge[1:], spaced, strict=True)]
+        if not ok.all():
+            a, b = a[np.repeat(ok, n_a)], b[np.repeat(ok, n_b)]
+            n_a, n_b = n_a * ok, n_b * ok
+        text, text_sizes, links, link_sizes, n_groups = self._aligned(a, b, n_a, n_b, ok)
+        self.number.update(zip(new, range(len(self.valid), len(self.valid) + len(new)), strict=True))
+        self.valid = np.concatenate([self.valid, ok])
+        self.sizes = np.vstack([self.sizes, np.column_stack([n_a, n_b, n_groups])])
+        self.link_ends = np.concatenate([self.link_ends, self.link_ends[-1] + np.cumsum(link_sizes)])
+        self.text_ends = np.concatenate([self.text_ends, self.text_ends[-1] + np.cumsum(text_sizes)])
+        self._text.append(text)
+        self._links.append(links)
+        self.bytes += 250 * len(new) + int(n.sum()) + len(text) + 8 * len(links)
+
+    def _aligned(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, ok: np.ndarray):
+        """Groups as text, link keys and numbers of groups; sizes are by piece."""
+        none = np.zeros(len(ok), np.int64)
+        if not len(a):
+            return b"", none, none, none, none
+        parts = np.column_stack([np.cumsum(n_a[ok]), np.cumsum(n_b[ok])])
         a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
         a_cuts, b_cuts = shared_cuts(a_ends, b_ends, parts)
         # Between neighbouring ends of either side just one token of each overlaps.
         ends = np.union1d(a_ends, b_ends)
         keys = a[np.searchsorted(a_ends, ends)] * self.n_b + b[np.searchsorted(b_ends, ends)]
-        last = np.searchsorted(ends, a_ends[parts[:, 0] - 1]) + 1
-        links = np.split(keys, last[:-1])
         # Ids in the order of the text form: A's of a group, then B's, each with what follows it.
         group_a, group_b = np.searchsorted(a_cuts, np.arange(len(a)), "right"), np.searchsorted(b_cuts, np.arange(len(b)), "right")
         place_a = np.arange(len(a)) + np.concatenate(([0], b_cuts))[group_a]
         place_b = np.arange(len(b)) + a_cuts[group_b]
-        shown = np.empty(2 * (len(a) + len(b)), object)
-        ids = np.array(self._shown, object)
-        shown[2 * place_a], shown[2 * place_b] = ids[a], ids[b]
-        shown[1::2] = b","
-        shown[2 * place_a[a_cuts - 1] + 1] = b"|"
-        shown[2 * place_b[b_cuts - 1] + 1] = b";"
-        shown, to = shown.tolist(), (2 * parts.sum(axis=1)).tolist()
-        groups = [b"".join(shown[x:y - 1]) for x, y in zip([0, *to[:-1]], to, strict=True)]
-        n_groups = np.diff(np.concatenate(([0], np.searchsorted(a_cuts, parts[:, 0]) + 1)))
-        sizes = [(len(x), len(y), int(g)) for x, y, g in zip(a_ids, b_ids, n_groups, strict=True)]
-        return groups, links, sizes
+        order = np.empty(len(a) + len(b), np.int64)
+        order[place_a], order[place_b] = a, b
+        marks = np.zeros(len(order), np.int64)
+        marks[place_a[a_cuts - 1]], marks[place_b[b_cuts - 1]] = 1, 2
+        last = parts.sum(axis=1) - 1
+        marks[last] = 3
+        shown = self._shown[marks, order]
+        lengths = np.concatenate(([0], np.cumsum(self._widths[order] + (marks < 3))))
+        counts = np.zeros((len(ok), 3), np.int64)
+        counts[ok] = np.column_stack([
+            np.diff(lengths[last + 1], prepend=0), np.diff(np.searchsorted(ends, a_ends[parts[:, 0] - 1]) + 1, prepend=0),
+            np.diff(np.searchsorted(a_cuts, parts[:, 0]) + 1, prepend=0)])
+        return b"".join(shown.tolist()), counts[:, 0], keys, counts[:, 1], counts[:, 2]
 
 
 def _byte_letters() -> dict[str, int]:
@@ -226,26 +247,33 @@ def _unpacked(data: bytes, kind) -> np.ndarray:
 def _chunk(pair: TokenizerPair, docs: list[np.ndarray], path: str) -> tuple[np.ndarray, np.ndarray]:
     """Write a chunk, documents as numbers of pieces; its distinct link keys and their documents."""
     numbers, bounds = _flat(docs)
-    used, counts = np.unique(numbers, return_counts=True)
-    order = np.argsort(-counts, kind="stable")  # frequent pieces get small numbers
-    renamed = np.empty(len(used), np.int64)
-    renamed[order] = np.arange(len(used))
-    numbers, used = renamed[np.searchsorted(used, numbers)], used[order].tolist()
-    links, ends = _flat([pair.links[p] for p in used])
-    keys, refs = np.unique(links, return_inverse=True)
+    counts = np.bincount(numbers, minlength=len(pair.valid))
+    used = np.flatnonzero(counts)
+    used = used[np.argsort(-counts[used], kind="stable")]  # frequent pieces get small numbers
+    renamed = np.zeros(len(counts), np.int64)
+    renamed[used] = np.arange(len(used))
+    numbers = renamed[numbers]
+    lengths = np.diff(pair.link_ends)[used]
+    ends = np.concatenate(([0], np.cumsum(lengths)))
+    keys, refs = np.unique(pair.links()[_of(lengths, pair.link_ends[used])], return_inverse=True)
     # Documents of each key: distinct (document, piece), then distinct (document, key).
-    lengths, n = np.diff(ends), np.zeros(len(keys), np.int64)
     doc = np.repeat(np.arange(len(docs)), np.diff(bounds))
-    in_doc = np.unique(doc * max(1, len(used)) + numbers)
+    in_doc = _distinct(doc * max(1, len(used)) + numbers)
     doc, piece = in_doc // max(1, len(used)), in_doc % max(1, len(used))
-    pairs = np.unique(np.repeat(doc, lengths[piece]) * max(1, len(keys)) + refs[_of(lengths[piece], ends[piece])])
-    n += np.bincount(pairs % max(1, len(keys)), minlength=len(keys))
-    text, text_ends = b"".join(pair.groups[p] for p in used), np.cumsum([0, *[len(pair.groups[p]) for p in used]])
+    pairs = _distinct(np.repeat(doc, lengths[piece]) * max(1, len(keys)) + refs[_of(lengths[piece], ends[piece])])
+    n = np.bincount(pairs % max(1, len(keys)), minlength=len(keys))
+    text_sizes = np.diff(pair.text_ends)[used]
+    text = np.frombuffer(pair.text(), np.uint8)[_of(text_sizes, pair.text_ends[used])]
     _save(path, numbers=numbers.astype(np.uint32), bounds=bounds, refs=refs.astype(np.uint32), ends=ends.astype(np.uint32),
-          sizes=np.array([pair.sizes[p] for p in used], np.uint32).reshape(-1, 3), text=np.frombuffer(text, np.uint8), text_ends=text_ends)
+          sizes=pair.sizes[used].astype(np.uint32), text=text, text_ends=np.concatenate(([0], np.cumsum(text_sizes))))
     return keys, n
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.concatenate(([True], values[1:] != values[:-1]))] if len(values) else values
+
+
 _ROW = "chunk long, path string, keys binary, documents binary, "
 
 
@@ -274,11 +302,11 @@ def _gather(docs: DataFrame, id_col: str, text_col: str, files: tuple[str, str],
             pair.learn({p for pieces in cut for p in pieces})
             for name, pieces in zip(names, cut, strict=True):
                 own = np.fromiter(map(pair.number.__getitem__, pieces), np.int64, len(pieces))
-                if not all(map(pair.valid.__getitem__, own.tolist())):
+                if not pair.valid[own].all():
                     own = own[:0]
                 ids.append(name)
                 held.append(own)
-                links += sum(map(len, map(pair.links.__getitem__, own.tolist())))
+                links += int((pair.link_ends[own + 1] - pair.link_ends[own]).sum())
                 if links >= chunk_links:
                     yield done()
                     ids, held, links, k = [], [], 0, k + 1
@@ -350,7 +378,7 @@ def _judged(arrow_kind: pa.DataType):
 
 def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a_file: str = "byte_bpe_50k.json",
           b_file: str = "piece_bpe_32k.model", chunk_links: int = 2_000_000, slice_chars: int = 1 << 20,
-          remembered: int = 48 << 20) -> DataFrame:
+          remembered: int = 80 << 20) -> DataFrame:
     """One row per input row: ``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups``.
 
     A (a file of the tokenizers library, byte-level) encodes a space and the text, B (a

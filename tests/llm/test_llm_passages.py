@@ -111,7 +111,7 @@ def test_bounds_hold_and_exclude():
 def test_text_store(spark, tmp_path):
     texts = [b"", b"x" * 100_000, "é 漢字".encode()] * 5
     with text_store.TextWriter(f"file://{tmp_path}") as w:
-        places = list(w.add(texts[:7])) + list(w.add(texts[7:]))
+        places = w.add(texts[:7]) + w.add(texts[7:])
     assert [text_store.fetch(*p) for p in places] == texts
     assert [text_store.fetch(*p) for p in reversed(places)] == texts[::-1]
 
@@ -211,17 +211,20 @@ def plain_alignment(docs):
         if not text or b"".join(bx) != (" " + text).encode() or b"".join(by) != (" " + text).encode():
             x = y = bx = by = []
         ends = [np.cumsum([len(p) for p in parts]).tolist() for parts in (bx, by)]
-        links, p, q = [], 0, 0
+        links, p, q, n_cuts, groups, of_a, of_b = [], 0, 0, 0, [], [], []
         while p < len(x):
             links.append((x[p], y[q]))
             at = min(ends[0][p], ends[1][q])
-            p, q = p + (ends[0][p] == at), q + (ends[1][q] == at)
-        cuts = sorted(set(ends[0]) & set(ends[1]))
-        groups = ";".join(
-            "|".join(",".join(str(t) for t, e in zip(ids, side, strict=True) if lo < e <= hi) for ids, side in ((x, ends[0]), (y, ends[1])))
-            for lo, hi in zip([0, *cuts], cuts, strict=False)) if len(x) < 5000 else None
+            both = ends[0][p] == ends[1][q]
+            if ends[0][p] == at:
+                of_a, p = [*of_a, str(x[p])], p + 1
+            if ends[1][q] == at:
+                of_b, q = [*of_b, str(y[q])], q + 1
+            if both:
+                groups.append(",".join(of_a) + "|" + ",".join(of_b))
+                n_cuts, of_a, of_b = n_cuts + 1, [], []
         linked.append(links)
-        rows.append((i, len(x), len(y), len(cuts), len(links), groups))
+        rows.append((i, len(x), len(y), n_cuts, len(links), ";".join(groups)))
     count = Counter(pair for links in linked for pair in set(links))
     most = defaultdict(int)
     for (t, _), n in count.items():
@@ -260,13 +263,21 @@ def test_pieces_give_what_whole_texts_give():
     marks = ["word", "it's", "  ", "\n", ".", "漢", "é", "_", "12", "'", " a", " ", "▁", "\t"]
     texts = ["".join(rng.choice(marks) + rng.choice([" ", "", " "]) for _ in range(rng.randrange(1, 30))) for _ in range(400)]
     cut = [pair.pieces(t) for t in texts]
-    pair.learn({p for pieces in cut for p in pieces} | set(texts))
+    pair.learn({p for pieces in cut for p in pieces})
+    pair.learn(set(texts))
+
+    def shown(p):
+        return pair.text()[pair.text_ends[p]:pair.text_ends[p + 1]]
+
+    def links(p):
+        return pair.links()[pair.link_ends[p]:pair.link_ends[p + 1]].tolist()
+
     for text, pieces in zip(texts, cut, strict=True):
         whole, parts = pair.number[text], [pair.number[p] for p in pieces]
         assert pair.valid[whole] == all(pair.valid[p] for p in parts)
         if pair.valid[whole]:
-            assert pair.groups[whole] == b";".join(pair.groups[p] for p in parts)
-            assert pair.links[whole].tolist() == [k for p in parts for k in pair.links[p].tolist()]
+            assert shown(whole) == b";".join(shown(p) for p in parts)
+            assert links(whole) == [k for p in parts for k in links(p)]
 
 
 def test_shared_cuts_equal_intersection():
