@@ -139,22 +139,39 @@ class TokenizerPair:
     def learn(self, texts: set[str]) -> None:
         """Encode and align pieces not yet known."""
         new = [t for t in texts if t not in self.number]
+        # Where a token begins at a space after printable ASCII, pieces that end so go together.
+        plain = [t for t in new if self.cuts and t and "!" <= t[0] <= "~" and "!" <= t[-1] <= "~" and "▁" not in t]
+        self._learn(plain, together=True)
+        self._learn([t for t in new if t not in self.number], together=False)
+
+    def _learn(self, new: list[str], together: bool) -> bool:
+        """Whether all could be learned; always true one by one."""
         if not new:
-            return
-        a_ids = [e.ids for e in self.a.encode_batch_fast([" " + t for t in new], add_special_tokens=False)]
-        b_ids = self.b.encode(new, num_threads=1)
+            return True
         spaced = [b" " + t.encode() for t in new]
-        n_a, n_b, n = (np.fromiter(map(len, x), np.int64, len(new)) for x in (a_ids, b_ids, spaced))
-        a, b = (np.fromiter(itertools.chain.from_iterable(x), np.int64) for x in (a_ids, b_ids))
-        ok = np.ones(len(new), bool)
-        for ids, table, sizes, counts in ((a, self.a_bytes, self.a_sizes, n_a), (b, self.b_bytes, self.b_sizes, n_b)):
-            ends = np.concatenate(([0], np.cumsum(counts)))
-            given = [table[i] for i in ids.tolist()]
-            # Equal in length piece by piece and equal as a whole: all are equal.
-            if not ((_sums(sizes[ids], ends) == n).all() and b"".join(given) == b"".join(spaced)):
-                edge = ends.tolist()
-                ok &= [b"".join(given[x:y]) == w for x, y, w in zip(edge[:-1], edge[1:], spaced, strict=True)]
-        if not ok.all():
+        n = np.fromiter(map(len, spaced), np.int64, len(new))
+        ends, whole, ok = np.cumsum(n), b"".join(spaced), np.ones(len(new), bool)
+        if together:
+            joined = [" ".join(new[i:i + 100]) for i in range(0, len(new), 100)]
+            a_ids = [e.ids for e in self.a.encode_batch_fast([" " + t for t in joined], add_special_tokens=False)]
+            a, b = (np.fromiter(itertools.chain.from_iterable(x), np.int64) for x in (a_ids, self.b.encode(joined, num_threads=1)))
+            counts = []
+            for ids, table, sizes in ((a, self.a_bytes, self.a_sizes), (b, self.b_bytes, self.b_sizes)):
+                if b"".join([table[i] for i in ids.tolist()]) != whole:
+                    return False
+                at = np.cumsum(sizes[ids])
+                to = np.searchsorted(at, ends)
+                if (at[to] != ends).any():
+                    return False
+                counts.append(np.diff(to + 1, prepend=0))
+            n_a, n_b = counts
+        else:
+            a_ids = [e.ids for e in self.a.encode_batch_fast([" " + t for t in new], add_special_tokens=False)]
+            b_ids = self.b.encode(new, num_threads=1)
+            n_a, n_b = (np.fromiter(map(len, x), np.int64, len(new)) for x in (a_ids, b_ids))
+            a, b = (np.fromiter(itertools.chain.from_iterable(x), np.int64) for x in (a_ids, b_ids))
+            for ids, table in ((a_ids, self.a_bytes), (b_ids, self.b_bytes)):
+                ok &= [b"".join([table[i] for i in x]) == w for x, w in zip(ids, spaced, strict=True)]
             a, b = a[np.repeat(ok, n_a)], b[np.repeat(ok, n_b)]
             n_a, n_b = n_a * ok, n_b * ok
         text, text_sizes, links, link_sizes, n_groups = self._aligned(a, b, n_a, n_b, ok)
@@ -165,7 +182,8 @@ class TokenizerPair:
         self.text_ends = np.concatenate([self.text_ends, self.text_ends[-1] + np.cumsum(text_sizes)])
         self._text.append(text)
         self._links.append(links)
-        self.bytes += 250 * len(new) + int(n.sum()) + len(text) + 8 * len(links)
+        self.bytes += 250 * len(new) + len(whole) + len(text) + 8 * len(links)
+        return True
 
     def _aligned(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, ok: np.ndarray):
         """Groups as text, link keys and numbers of groups; sizes are by piece."""
@@ -176,7 +194,7 @@ class TokenizerPair:
         a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
         a_cuts, b_cuts = shared_cuts(a_ends, b_ends, parts)
         # Between neighbouring ends of either side just one token of each overlaps.
-        ends = np.union1d(a_ends, b_ends)
+        ends = _distinct(np.concatenate([a_ends, b_ends]))
         keys = a[np.searchsorted(a_ends, ends)] * self.n_b + b[np.searchsorted(b_ends, ends)]
         # Ids in the order of the text form: A's of a group, then B's, each with what follows it.
         group_a, group_b = np.searchsorted(a_cuts, np.arange(len(a)), "right"), np.searchsorted(b_cuts, np.arange(len(b)), "right")
@@ -270,7 +288,7 @@ def _chunk(pair: TokenizerPair, docs: list[np.ndarray], path: str) -> tuple[np.n
 
 
 def _distinct(values: np.ndarray) -> np.ndarray:
-    values = np.sort(values)
+    values = np.sort(values, kind="stable")
     return values[np.concatenate(([True], values[1:] != values[:-1]))] if len(values) else values
 
 
@@ -378,7 +396,7 @@ def _judged(arrow_kind: pa.DataType):
 
 def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a_file: str = "byte_bpe_50k.json",
           b_file: str = "piece_bpe_32k.model", chunk_links: int = 2_000_000, slice_chars: int = 1 << 20,
-          remembered: int = 80 << 20) -> DataFrame:
+          remembered: int = 100 << 20) -> DataFrame:
     """One row per input row: ``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups``.
 
     A (a file of the tokenizers library, byte-level) encodes a space and the text, B (a
