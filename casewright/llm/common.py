@@ -21,7 +21,16 @@ def written(rows: DataFrame, purpose: str) -> DataFrame:
     """
     folder = run_folder(rows.sparkSession, purpose)
     rows.write.parquet(folder)
-    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+    table = rows.sparkSession.read.schema(rows.schema).parquet(folder)
+    table.written_folder = folder
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove what ``written`` wrote, once nothing reads it any more."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.written_folder)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fold(key: Column, parts: int) -> Column:

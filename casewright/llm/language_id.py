@@ -15,6 +15,8 @@ from casewright.llm.common import hash_cut, written
 
 BUCKETS = 4096
 _SLICE = 1 << 20
+#: Rows held as dense vectors at a time: 4 MB in 64 bits.
+_ROWS = 128
 #: Every byte as a letter or, for what is not one in ASCII, a space.
 _LETTER = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 #: Lengths, in bytes, for which rejection distances are calibrated.
@@ -75,9 +77,11 @@ class Model:
 
 
 def _batches(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    for batch in batches:
-        texts = pc.utf8_lower(batch.column(column).cast(pa.large_string())).cast(pa.large_binary())
-        yield batch, [t or b"" for t in texts.to_pylist()]
+    for whole in batches:
+        for at in range(0, whole.num_rows, _ROWS):
+            batch = whole.slice(at, _ROWS)
+            texts = pc.utf8_lower(batch.column(column).cast(pa.large_string())).cast(pa.large_binary())
+            yield batch, [t or b"" for t in texts.to_pylist()]
 
 
 def _sample(docs: DataFrame, train: Column, id_col: str, text_col: str, lang_col: str, bound: int,
@@ -139,10 +143,12 @@ def fit(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
         idf[row["b"]] = np.log((n + 1) / (row["count"] + 1)) + 1
 
     def dense(frame: pd.DataFrame) -> np.ndarray:
-        counts = np.zeros((len(frame), BUCKETS), np.float32)
+        out = np.zeros((len(frame), BUCKETS), np.float32)
         for i, (at, c) in enumerate(zip(frame["at"], frame["counts"], strict=True)):
-            counts[i, at] = c
-        return unit_rows(counts, idf)
+            out[i, at] = c
+        for i in range(0, len(out), _ROWS):
+            out[i:i + _ROWS] = unit_rows(out[i:i + _ROWS], idf)
+        return out
 
     def centres(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["n_bytes", "at"], key=lambda s: s if s.name == "n_bytes" else s.map(tuple))
@@ -155,8 +161,8 @@ def fit(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
 
     def best(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for at in range(0, len(frame), 1000):
-                part = frame.iloc[at:at + 1000]
+            for at in range(0, len(frame), _ROWS):
+                part = frame.iloc[at:at + _ROWS]
                 yield pd.DataFrame({"kind": _class_of(part["n_bytes"].to_numpy()),
                                     "best": (dense(part) @ centroids.T).max(axis=1).astype(float)})
 
@@ -193,20 +199,18 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> Da
         for batch, texts in _batches(batches, column):
             letter = pc.match_substring_regex(batch.column(column), r"\p{L}").fill_null(False).to_pylist()
             lang, score, rejected = [], [], []
-            for at in range(0, len(texts), 500):
-                part = texts[at:at + 500]
-                if model is None:
-                    best, value = np.zeros(len(part), int), np.zeros(len(part))
-                else:
-                    counts = np.array([ngram_counts(t) for t in part], np.float32)
-                    cosine = unit_rows(counts, model.idf) @ model.centroids.T
-                    best, value = np.argmax(cosine, axis=1), np.clip(cosine.max(axis=1), 0, 1)
-                    floor = model.floors[_class_of(np.array([len(t) for t in part]))]
-                for i, has in enumerate(letter[at:at + 500]):
-                    known = has and model is not None
-                    lang.append(model.languages[best[i]] if known else "und")
-                    score.append(float(value[i]) if known else 0.0)
-                    rejected.append(not known or bool(value[i] < floor[i]))
+            if model is None:
+                best, value = np.zeros(len(texts), int), np.zeros(len(texts))
+            else:
+                counts = np.array([ngram_counts(t) for t in texts], np.float32)
+                cosine = unit_rows(counts, model.idf) @ model.centroids.T
+                best, value = np.argmax(cosine, axis=1), np.clip(cosine.max(axis=1), 0, 1)
+                floor = model.floors[_class_of(np.array([len(t) for t in texts]))]
+            for i, has in enumerate(letter):
+                known = has and model is not None
+                lang.append(model.languages[best[i]] if known else "und")
+                score.append(float(value[i]) if known else 0.0)
+                rejected.append(not known or bool(value[i] < floor[i]))
             yield pa.RecordBatch.from_arrays(
                 batch.columns + [pa.array(lang), pa.array(score), pa.array(rejected)],
                 names=batch.schema.names + ["out_lang", "out_score", "out_rejected"])

@@ -9,6 +9,7 @@ bases, prefix sums of tokens and documents. All integers are little-endian.
 from __future__ import annotations
 
 import functools
+import json
 import os
 import uuid
 import zlib
@@ -26,6 +27,13 @@ from casewright.llm import shared_files
 from casewright.llm.common import written
 from casewright.session import run_folder
 
+#: What the fast path below takes apart by itself.
+_LOWERED = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLIT = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Chunks whose splitting and lower-casing need no library: ASCII and Latin-1 letters.
 _PLAIN = regex.compile(r"(?:(?!<\|)[\x21-\x7eÀ-ÿ])+")
@@ -42,18 +50,29 @@ def _byte_letters() -> dict[int, str]:
 class WordEncoder(dict):
     """Token ids (as bytes) of chunks between ASCII white space, remembered.
 
-    The tokenizer never lets a token span white space, so a text's ids are those of its
-    chunks in a row. Plain chunks are split here and their pieces go to the library's BPE
-    model once each; any other chunk goes through the whole library encoder.
+    Where a file normalises and splits as fixed above, no token spans white space, so a
+    text's ids are those of its chunks in a row. Plain chunks are split here and their pieces
+    go to the library's BPE model once each; any other chunk goes through the whole library
+    encoder. With any other file, whole texts do. About ``most`` bytes are remembered.
     """
 
-    def __init__(self, file: str, most: int = 500_000):
+    def __init__(self, file: str, most: int = 32 << 20):
         super().__init__()
-        self.tokenizer = Tokenizer.from_file(public_tokenizers.path(file))
+        path = public_tokenizers.path(file)
+        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            how = json.load(f)
+        self.by_chunk = how.get("normalizer") == _LOWERED and how.get("pre_tokenizer") == _SPLIT
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self._model, self._most = self.tokenizer.model, most
         self._letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
         self._pieces: dict[str, bytes] = {}
+        self._bytes = 0
+
+    def forget(self) -> None:
+        self.clear()
+        self._pieces.clear()
+        self._bytes = 0
 
     def _ids(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
@@ -68,16 +87,19 @@ class WordEncoder(dict):
                 if (ids := known.get(piece)) is None:
                     shown = piece.encode().decode("latin-1").translate(self._letters)
                     ids = known[piece] = self._ids([t.id for t in self._model.tokenize(shown)])
+                    self._bytes += 200 + 4 * len(piece) + len(ids)
                 out.append(ids)
             out = b"".join(out)
-            if len(known) > self._most:
-                known.clear()
-        if len(self) > self._most:  # bounds memory; only costs encoding again
-            self.clear()
-        self[chunk] = out
+        if self._bytes > self._most:  # bounds memory; only costs encoding again
+            self.forget()
+        if len(chunk) < 256:
+            self[chunk] = out
+            self._bytes += 200 + len(chunk) + len(out)
         return out
 
     def encode(self, text: bytes) -> bytes:
+        if not self.by_chunk:
+            return self._ids(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids)
         return b"".join(map(self.__getitem__, text.split()))
 
 
@@ -126,6 +148,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str = "word_bpe_49k.js
                 names.write(batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False).astype("<i8"))
                 docs_n += batch.num_rows
             offsets.write(np.array([at], "<u8"))
+        words.forget()  # workers are used again
         if docs_n:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([stem]), pa.array([words.kind.str]), pa.array([docs_n]),
