@@ -158,6 +158,12 @@ def append_actions(existing: DataFrame, batch: DataFrame, seq: str = "ingest_seq
     )
 
 
+def _tickets_of(existing: DataFrame, batch: DataFrame) -> tuple[DataFrame, Column]:
+    """The batch's tickets and their match with ``existing``."""
+    named = batch.select(F.col("ticket_no").alias("_named")).distinct()
+    return named, existing["ticket_no"].eqNullSafe(named["_named"])
+
+
 def _loaded(existing: DataFrame, batch: DataFrame, seq: str) -> DataFrame:
     """Stored and new actions with ``action``: kept, gone, insert or update, and ``seq``.
 
@@ -167,7 +173,8 @@ def _loaded(existing: DataFrame, batch: DataFrame, seq: str) -> DataFrame:
     without any dates, spread over the cluster.
     """
     slot = ["ticket_no", "action_taken_date"]
-    stored = existing.select(*_ACTION_COLUMNS, F.lit(0).alias("_src"), F.lit(None).cast("long").alias("_seq"))
+    # Stored tickets that the batch does not mention take no part.
+    stored = existing.join(*_tickets_of(existing, batch), "left_semi").select(*_ACTION_COLUMNS, F.lit(0).alias("_src"), F.lit(None).cast("long").alias("_seq"))
     new = batch.select(*_ACTION_COLUMNS, F.lit(1).alias("_src"), F.col(seq).cast("long").alias("_seq"))
     # Stored rows come before new ones, then the first by sequence, nulls last.
     rank = F.struct("_src", F.col("_seq").isNull().alias("_late"), "_seq", "action_taken_date")
@@ -202,7 +209,8 @@ def load_actions(existing: DataFrame, batch: DataFrame, seq: str = "ingest_seq")
     exactly one stored and one new row of its ticket replaces that stored row; every
     other new row is inserted. Rows without date are only ever inserted.
     """
-    return _loaded(existing, batch, seq).where("action != 'gone'").drop("_seq")
+    stays = existing.select(*_ACTION_COLUMNS, F.lit("kept").alias("action")).join(*_tickets_of(existing, batch), "left_anti")
+    return _loaded(existing, batch, seq).where("action != 'gone'").drop("_seq").unionByName(stays)
 
 
 def action_changes(existing: DataFrame, batch: DataFrame, seq: str = "ingest_seq") -> DataFrame:

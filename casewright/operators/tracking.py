@@ -21,21 +21,25 @@ TICKET_KEYS = ["ticket_no"]
 # --- recording outcomes ---------------------------------------------------------------------
 
 
-def record_outcomes(tracking: DataFrame, outcomes: DataFrame, keys: list[str], now: Instant) -> DataFrame:
+def record_outcomes(tracking: DataFrame, outcomes: DataFrame, keys: list[str], now: Instant, salts: int = 16) -> DataFrame:
     """Next tracking table after a run.
 
     ``outcomes`` holds the keys, ``outcome`` (``success`` or ``failure``), ``records``
     and ``attempt_seq``, in any number per key. A success sets fetch time and count and
     clears failures; each failure after the last success adds one and keeps the rest.
     """
-    won = F.col("outcome") == "success"
+    # A key's attempts are never gathered: they are dealt to (key, salt), the last success of
+    # the key goes to each of its salts, and failures after it are counted there and summed.
+    outcomes, won = outcomes.dropna(subset=keys), F.col("outcome") == "success"
+    salt = F.pmod(F.xxhash64("attempt_seq", "records"), F.lit(salts)).cast("int").alias("_salt")
     last = outcomes.groupBy(*keys).agg(
         F.max(F.when(won, F.struct("attempt_seq", "records"))).alias("_won")
     )
-    later = ~won & (F.col("_won").isNull() | (F.col("attempt_seq") > F.col("_won.attempt_seq")))
-    # The join leaves the rows of a key together, as both groupings need them.
-    folded = outcomes.select(*keys, "outcome", "attempt_seq").join(last, keys).groupBy(*keys).agg(
-        F.any_value("_won").alias("_won"), F.count_if(later).alias("_failed"))
+    spread = last.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    failures = outcomes.where(~won).select(*keys, "attempt_seq", salt)
+    later = F.col("_won").isNull() | (F.col("attempt_seq") > F.col("_won.attempt_seq"))
+    failed = failures.join(spread, [*keys, "_salt"]).where(later).groupBy(*keys, "_salt").agg(F.count(F.lit(1)).alias("_failed"))
+    folded = last.join(failed.groupBy(*keys).agg(F.sum("_failed").alias("_failed")), keys, "left")
     return _apply(tracking, folded, keys, now)
 
 

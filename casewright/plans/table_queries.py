@@ -10,6 +10,8 @@ from casewright.operators import documents, lookup, merge, reports, tracking
 from casewright.plans import fixtures as fx
 from casewright.plans.registry import query, with_ctes
 from casewright.plans.report_queries import CHANNEL_SQL, t
+from casewright.session import run_folder
+from casewright.sources.tables import store_bucketed
 
 A = fx.actions_sql()
 DOC = C.DOCUMENT_COLUMNS
@@ -213,6 +215,14 @@ def _(spark, sf):
     return merge.changed_complaints(*_complaint_sides(spark, sf)).select(*_MERGED, "action")
 
 
+@query("m8_merge_into_buckets", _merged_sql("TRUE"))
+def _(spark, sf):
+    """The stored complaints bucketed by ticket: only the batch is shuffled."""
+    existing, batch = _complaint_sides(spark, sf)
+    stored = store_bucketed(existing, run_folder(spark, "complaints"), ["ticket_no"])
+    return merge.merge_complaints(stored, batch).select(*_MERGED, "action")
+
+
 # --- action merges ----------------------------------------------------------------------------------
 
 _KEY = ", ".join(C.ACTION_KEY)
@@ -293,6 +303,13 @@ def _(spark, sf):
     return documents.apply_updates(*_updates(spark, sf), fx.NOW)
 
 
+@query("m11_updates_into_buckets", _apply_updates_sql("TRUE", "local_path IS NOT NULL"))
+def _(spark, sf):
+    """The stored complaints bucketed by ticket: only the updates are shuffled."""
+    complaints, updates = _updates(spark, sf)
+    return documents.apply_updates(store_bucketed(complaints, run_folder(spark, "complaints"), ["ticket_no"]), updates, fx.NOW)
+
+
 @query("m11_apply_updates_skips_untouched", _apply_updates_sql(
     "local_path IS NOT NULL OR error IS NOT NULL", "local_path IS NOT NULL"))
 def _(spark, sf):

@@ -1,13 +1,17 @@
-"""Tables kept as folders of changes, plus JSON and report output.
+"""Tables as plain Parquet: changes by partition, state by bucket; JSON and report output.
 
-A commit is named by its source and batch and writes nothing but its own rows, so its cost
-does not grow with the table, two writers never meet, and a replayed batch overwrites what
-its first attempt left. Reading takes the latest change of every key. Compaction writes
-the latest state below another root; readers move there between runs.
+Changes lie in one data set per table, partitioned by source and batch. A commit writes
+only its own partition (dynamic overwrite), so its cost does not grow with the table, and a
+replay overwrites just what its first attempt left. The state, every key's latest row, is a
+table of the session catalog bucketed by key: joining changes to it shuffles the changes
+only. On a cluster the catalog is a metastore, which also names the present state.
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -23,13 +27,25 @@ _EXTRA = T.StructType([
 ])
 
 
+def store_bucketed(rows: DataFrame, path: str, keys: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """``rows`` as a catalog table below ``path``, hashed by ``keys`` into as many buckets as
+    shuffles have partitions, one sorted file each. A join or a grouping by ``keys`` reads
+    it without a shuffle."""
+    spark = rows.sparkSession
+    n, name = buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), f"stored_{uuid.uuid4().hex}"
+    rows.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    table = spark.table(name)
+    table.stored_name = name
+    return table
+
+
 @dataclass(frozen=True)
 class Table:
     """One table below ``root``.
 
     ``groups`` names sets of columns that change apart (a ticket's record and its document
     outcome); a key exists once its first group does. ``defaults`` fill nulls of columns
-    that nothing has set.
+    that nothing has set. Keys may be null: the state is bucketed by a digest of them.
     """
 
     spark: SparkSession
@@ -44,23 +60,27 @@ class Table:
     def _groups(self) -> dict[str, tuple[str, ...]]:
         return self.groups or {"row": tuple(n for n in self.schema.names if n not in self.keys)}
 
-    def _folder(self, source: str, batch: str | int) -> str:
-        return f"{self.root}/{self.name}/changes/{source}/{batch}"
+    @property
+    def _folder(self) -> str:
+        return f"{self.root}/{self.name}/changes"
+
+    @property
+    def _state(self) -> str:
+        """The catalog view of the present state."""
+        return f"state_{self.name}_{hashlib.md5(self.root.encode()).hexdigest()}"
 
     def changes(self, without: tuple[str, str | int] | None = None) -> DataFrame:
-        """All change rows, but those of one (source, batch)."""
+        """Change rows not yet folded, but those of one (source, batch): its partition is pruned."""
         schema = T.StructType([*self.schema.fields, *_EXTRA.fields])
         try:
-            rows = self.spark.read.schema(schema).parquet(f"{self.root}/{self.name}/changes/*/*")
+            rows = self.spark.read.schema(schema).parquet(self._folder)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], schema)
-        if without is None:
-            return rows
-        own = "/{}/{}/".format(*without)
-        files = [f for f in rows.inputFiles() if own not in f]
-        return self.spark.read.schema(schema).parquet(*files) if files else self.spark.createDataFrame([], schema)
+        if without is not None:
+            rows = rows.where((F.col("_source") != without[0]) | (F.col("_batch") != str(without[1])))
+        return rows
 
     def _latest(self, changes: DataFrame) -> DataFrame:
         """Keys with the latest change of each group; combines before the shuffle."""
@@ -70,9 +90,30 @@ class Table:
             for g, columns in self._groups.items()
         ])
 
+    def _keyed(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_key", F.unhex(F.md5(F.to_json(F.struct(*self.keys)))))
+
+    def latest(self, without: tuple[str, str | int] | None = None) -> DataFrame:
+        """Keys with the latest change of each group, folded or not. Only changes are shuffled."""
+        changed = self._latest(self.changes(without))
+        if not self.spark.catalog.tableExists(self._state):
+            return changed
+        old = self.spark.table(self._state).select(
+            "_key", F.struct(*self.keys).alias("_old_keys"), *[F.col(f"_{g}").alias(f"_old_{g}") for g in self._groups])
+        new = self._keyed(changed).select("_key", F.struct(*self.keys).alias("_new_keys"), *[f"_{g}" for g in self._groups])
+        joined = old.join(new, "_key", "full_outer")
+        keys = F.coalesce("_new_keys", "_old_keys")
+
+        def later(g: str) -> Column:
+            order = {side: F.struct(*[F.col(f"{side}{g}.{c}") for c in _ORDER]) for side in ("_", "_old_")}
+            stays = F.col(f"_{g}").isNull() | (F.col(f"_old_{g}").isNotNull() & (order["_old_"] > order["_"]))
+            return F.when(stays, F.col(f"_old_{g}")).otherwise(F.col(f"_{g}")).alias(f"_{g}")
+
+        return joined.select(*[keys.getField(k).alias(k) for k in self.keys], *[later(g) for g in self._groups])
+
     def read(self, without: tuple[str, str | int] | None = None) -> DataFrame:
         """The present rows; ``without`` leaves one commit out, as a replay of it must."""
-        latest, first = self._latest(self.changes(without)), f"_{next(iter(self._groups))}"
+        latest, first = self.latest(without), f"_{next(iter(self._groups))}"
         of = {c: F.col(f"_{g}.{c}") for g, columns in self._groups.items() for c in columns}
         values = {c: F.coalesce(of[c], F.lit(v)) for c, v in self.defaults.items()}
         columns = [(F.col(f.name) if f.name in self.keys else values.get(f.name, of.get(f.name)))
@@ -83,7 +124,7 @@ class Table:
                gone: Column | None = None) -> None:
         """Commit changes: keys and the columns of ``group`` (the first by default). Of
         changes of one key the one with the largest ``seq`` counts; where ``gone`` holds, the
-        row leaves the table."""
+        row leaves the table. A commit without rows leaves no partition."""
         group = group or next(iter(self._groups))
         carried = {*self.keys, *self._groups[group]}
         typed = [(F.col(f.name) if f.name in carried else F.lit(None)).cast(f.dataType).alias(f.name)
@@ -93,19 +134,45 @@ class Table:
             F.coalesce(gone, F.lit(False)).alias("_gone") if gone is not None else F.lit(False).alias("_gone"),
             (F.col(seq) if isinstance(seq, str) else seq).cast("long").alias("_seq"),
             F.lit(source).alias("_source"), F.lit(str(batch)).alias("_batch"),
-        ).write.mode("overwrite").parquet(self._folder(source, batch))
-
-    def compact(self, root: str) -> Table:
-        """The latest state of every key as one commit per group below another root."""
-        target = Table(self.spark, root, self.name, self.schema, self.keys, self.groups, self.defaults)
-        latest = self._latest(self.changes())
-        for group, columns in self._groups.items():
-            state = latest.where(F.col(f"_{group}").isNotNull())
-            target.append(
-                state.select(*self.keys, *[F.col(f"_{group}.{c}").alias(c) for c in (*columns, "_seq", "_gone")]),
-                "compacted", group, "_seq", group, F.col("_gone"),
-            )
-        return target
+        ).write.partitionBy("_source", "_batch").mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").parquet(self._folder)
+
+    def fold(self, buckets: int | None = None) -> None:
+        """Take changes over into the state, so that reads do not grow with the number of commits.
+
+        The last batch of every source stays among the changes: it may be replayed, and a
+        replay must be able to leave itself out. The new state is written beside the old one,
+        the view is moved to it, then the partitions taken over and the old state go. Taking a
+        change over twice changes nothing, so a fold that breaks off anywhere can be repeated.
+        """
+        batches = self.changes().select("_source", "_batch").distinct()
+        number = F.struct(F.length("_batch"), "_batch")
+        last = batches.groupBy("_source").agg(F.max(number).getField("_batch").alias("_last"))
+        done = batches.join(F.broadcast(last), "_source").where("_batch != _last")  # one row per source
+        done = [(r["_source"], r["_batch"]) for r in done.select("_source", "_batch").collect()]  # one row per commit
+        old = self._stored()
+        new = store_bucketed(self._keyed(self.latest()), f"{self.root}/{self.name}/state/{uuid.uuid4().hex}", ["_key"], buckets)
+        self.spark.sql(f"CREATE OR REPLACE VIEW `{self._state}` TBLPROPERTIES ('stored' = '{new.stored_name}') "
+                       f"AS SELECT * FROM `{new.stored_name}`")
+        paths = [f"{self._folder}/_source={s}/_batch={b}" for s, b in done]
+        if old:
+            paths.append(self._location(old))
+            self.spark.sql(f"DROP TABLE `{old}`")
+        for path in paths:
+            where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+        self.spark.catalog.refreshByPath(self._folder)
+
+    def _stored(self) -> str | None:
+        """The catalog table behind the view."""
+        if not self.spark.catalog.tableExists(self._state):
+            return None
+        told = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES `{self._state}`").collect()}
+        return told["stored"]
+
+    def _location(self, name: str) -> str:
+        told = {r["col_name"]: r["data_type"] for r in self.spark.sql(f"DESCRIBE EXTENDED `{name}`").collect()}
+        return told["Location"]
 
 
 def open_table(spark: SparkSession, root: str, name: str) -> Table:

@@ -63,3 +63,16 @@ def tickets(spark, rows: list[dict]):
             ts(full.get(n)) if n.endswith(("_on", "_date")) else full.get(n) for n in names
         ))
     return spark.createDataFrame(data, schema)
+
+
+def plans_sorted(rows) -> str:
+    """The static plan as text where small test tables are not broadcast."""
+    conf = rows.sparkSession.conf
+    held = {n: conf.get(n) for n in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return rows.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for n, v in held.items():
+            conf.set(n, v)

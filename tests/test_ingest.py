@@ -1,12 +1,13 @@
 import json
+import re
 
 import pytest
-from helpers import bag, complaint, envelope, frame, ts, values
+from helpers import bag, complaint, envelope, frame, plans_sorted, ts, values
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from casewright import contracts as C
-from casewright.operators import conform, quality
+from casewright.operators import conform, documents, merge, quality
 from casewright.plans import weekly
 from casewright.sources import column_json, landing, listing, tables, ticket_lists
 from casewright.streaming import ingest
@@ -108,25 +109,68 @@ def test_table_of_changes(spark, tmp_path):
     assert values(table.read(without=("s", 1)), "dist_id") == [1, 2]
     table.append(frame(spark, rows, (1, "A", 5)), "s", 2, "seq", gone=F.lit(True))
     assert values(table.read(), "dist_id") == [2, 3]
-    compacted = table.compact(str(tmp_path / "u"))
-    assert bag(compacted.read()) == bag(table.read())
-    compacted.append(frame(spark, rows, (1, "late", 4)), "s", 3, "seq")  # older than what removed it
-    assert values(compacted.read(), "dist_id") == [2, 3]
-
-
-def test_groups_change_apart(spark, tmp_path):
-    table = tables.open_table(spark, str(tmp_path), "complaints")
-    record = frame(spark, "ticket_no string, status string, seq long", ("T1", "x", 1))
-    full = record.select("*", *[F.lit(None).alias(c) for c in C.COMPLAINT_SCHEMA.names if c not in record.columns])
-    table.append(full, "s", 0, "seq")
-    assert table.read().first()["document_downloaded"] is False
-    outcome = frame(spark, "ticket_no string, local_document_path string, document_downloaded boolean, "
-                    "document_download_date timestamp_ntz, document_download_error string",
-                    ("T1", "p", True, ts("2025-01-01"), None), ("T9", "q", True, None, None))
-    table.append(outcome, "d", 0, F.lit(1), group="outcome")
-    table.append(full.withColumn("status", F.lit("y")), "s", 1, F.lit(2))
-    got = table.read().collect()
-    assert [(r["ticket_no"], r["status"], r["local_document_path"]) for r in got] == [("T1", "y", "p")]
+    assert sorted(f"{p.parent.name} {p.name}" for p in (tmp_path / "t/districts/changes").glob("*/*") if p.is_dir()) == [
+        "_source=other _batch=0", "_source=s _batch=0", "_source=s _batch=1", "_source=s _batch=2"]
+
+
+def test_fold_into_state(spark, tmp_path):
+    table, rows = tables.open_table(spark, str(tmp_path), "districts"), "dist_id int, dist_name string, seq long"
+    for batch in range(12):  # batch 11 comes after batch 2
+        table.append(frame(spark, rows, (batch % 5, f"n{batch}", batch)), "s", batch, "seq", gone=F.lit(batch == 9))
+    table.append(frame(spark, rows, (7, "other", 0)), "o", 0, "seq")
+    want = [(0, "n10"), (1, "n11"), (2, "n7"), (3, "n8"), (7, "other")]
+    assert values(table.read(), "dist_id", "dist_name") == want
+    for _ in range(2):
+        table.fold(3)
+        assert values(table.read(), "dist_id", "dist_name") == want
+        # What may be replayed stays apart, and there is one state.
+        left = table.changes().select("_source", "_batch").distinct()
+        assert values(left, "_source", "_batch") == [("o", "0"), ("s", "11")]
+        assert len(list((tmp_path / "districts/state").iterdir())) == 1
+    table.append(frame(spark, rows, (4, "late", 8), (2, "new", 20)), "s", 12, "seq")  # 4 left later, at 9
+    want = [(0, "n10"), (1, "n11"), (2, "new"), (3, "n8"), (7, "other")]
+    assert values(table.read(), "dist_id", "dist_name") == want
+    assert values(table.read(without=("s", 12)), "dist_name") == ["n10", "n11", "n7", "n8", "other"]
+    # Only changes are shuffled to meet the state; a left-out commit is not even listed.
+    assert exchanged(table.read(without=("s", 12))) == {"batch"}
+    assert re.search(r"PartitionFilters: \[.*_batch", plans_sorted(table.read(without=("s", 12))))
+
+
+def test_fold_with_null_keys(spark, tmp_path):
+    table = tables.open_table(spark, str(tmp_path), "action_history")
+    row = {c: None for c in C.ACTION_SCHEMA.names} | {"ticket_no": "T1", "action_status": "Forward"}
+    rows = spark.createDataFrame([(*row.values(), 1)], T.StructType([*C.ACTION_SCHEMA.fields, T.StructField("seq", T.LongType())]))
+    table.append(rows, "s", 0, "seq")
+    table.append(rows, "s", 1, "seq")
+    table.fold()
+    table.append(rows, "s", 2, "seq")
+    assert table.read().count() == 1
+
+
+def test_batches_into_buckets_shuffle_only_the_batch(spark, tmp_path):
+    rows = spark.range(500).select(F.concat(F.lit("T"), "id").alias("ticket_no"), F.lit("x").alias("status"))
+    full = rows.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in C.COMPLAINT_SCHEMA.fields if f.name not in rows.columns])
+    stored = tables.store_bucketed(full, str(tmp_path / "stored"), ["ticket_no"])
+    batch = full.limit(40).withColumn("status", F.lit("y")).withColumn("ingest_seq", F.lit(1))
+    merged = merge.merge_complaints(stored, batch)
+    assert exchanged(merged) <= {"batch"} and merged.where("status = 'y'").count() == 40
+    updates = frame(spark, "ticket_no string, local_path string, success boolean, error string, attempt_seq int", ("T1", "p", True, None, 1))
+    applied = documents.apply_updates(stored, updates, "2025-01-01")
+    assert exchanged(applied) <= {"batch"} and applied.where("document_downloaded").count() == 1
+
+
+def exchanged(rows):
+    """Which scans stand below a shuffle in the plan: bucketed ``state`` or the ``batch``."""
+    found, below = set(), None
+    for line in plans_sorted(rows).splitlines():
+        depth = max(line.find("+- "), line.find(":- "))
+        if below is not None and depth <= below:
+            below = None
+        if below is None and re.search(r"\bExchange\b", line):
+            below = depth
+        elif below is not None and re.search(r"FileScan|LocalTableScan|ExistingRDD|Range \(", line):
+            found.add("state" if "Bucketed: true" in line else "batch")
+    return found
 
 
 # --- conformance ---

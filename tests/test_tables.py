@@ -1,4 +1,4 @@
-from helpers import bag, frame, ts, values
+from helpers import bag, frame, plans_sorted, ts, values
 from pyspark.sql import functions as F
 
 from casewright import contracts as C
@@ -248,3 +248,30 @@ def test_download_plan_and_pending(spark):
     assert values(documents.already_stored(rows, stored), "ticket_no") == ["GOV1"]
     assert values(documents.pending_tickets(rows, stored), "ticket_no") == ["GOV0", "GOV2"]
     assert values(documents.first_pending(documents.pending_tickets(rows, stored), 1), "ticket_no") == ["GOV0"]
+
+
+def test_hot_cell_is_spread(spark):
+    """A third of all attempts are on one cell; no task of the fold sees more than a salt of them."""
+    attempts = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(100 + F.col("id") % 500).cast("int").alias("k"),
+        F.when(F.col("id") == 1500, "success").otherwise("failure").alias("outcome"),
+        F.lit(5).cast("long").alias("records"), F.col("id").cast("int").alias("attempt_seq"))
+    empty = frame(spark, "k int, last_successful_fetch timestamp_ntz, records_count long, failure_count long")
+    got = {r["k"]: (r["records_count"], r["failure_count"]) for r in tracking.record_outcomes(empty, attempts, ["k"], NOW).collect()}
+    assert got[7] == (5, 499) and len(got) == 501 and sum(n for _, n in got.values()) == 2999 - 500
+    plan = plans_sorted(tracking.record_outcomes(empty, attempts, ["k"], NOW))
+    scans = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    # Attempts move by (key, salt), or combined by key.
+    assert sum("_salt" in line for line in scans) >= 2
+    spread = attempts.where("outcome = 'failure' AND k = 7").select(F.pmod(F.xxhash64("attempt_seq", "records"), F.lit(16)).alias("s"))
+    assert spread.groupBy("s").count().agg(F.max("count")).first()[0] < 3 * 1000 / 16
+
+
+def test_load_actions_leaves_other_tickets_alone(spark):
+    stored = frame(spark, ACTION, ("T1", "u", ts("2025-01-01"), "r", "Forward", "Open"), (None, "u", None, "n", "Forward", "Open"),
+                   ("T2", "u", ts("2025-01-01"), "r", "Forward", "Open"))
+    batch = frame(spark, ACTION + ", ingest_seq int", ("T2", "u", ts("2025-01-01"), "s", "Forward", "Open", 1),
+                  (None, "u", None, "n", "Forward", "Open", 2))
+    got = values(merge.load_actions(stored, batch), "ticket_no", "action_taken_remark", "action")
+    assert got == [("T1", "r", "kept"), ("T2", "s", "update"), (None, "n", "kept")]
+    assert values(merge.action_changes(stored, batch), "ticket_no", "gone") == [("T2", False), ("T2", True)]
