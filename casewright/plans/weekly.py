@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casewright import contracts as C
 from casewright.functions import dates
-from casewright.operators import documents, reports, tracking
+from casewright.operators import documents, report_cube, tracking
 from casewright.sources.tables import Table, open_table, write_reports
 
 
@@ -69,6 +69,8 @@ def record_downloads(complaints: Table, attempts: DataFrame, now: datetime | str
 def publish_reports(tickets: DataFrame, as_of: datetime | str, root: str) -> dict[str, str]:
     """Compute the report set over the analysis table and write each report.
 
-    Pass a stored table: every report reads it once, with the columns it needs.
+    The tickets are read once, for the cube below ``root``; every report is cut from that.
     """
-    return write_reports(reports.report_catalogue(tickets, as_of), root)
+    folder = f"{root}/_cube"
+    report_cube.cube(tickets, as_of).write.mode("errorifexists").parquet(folder)
+    return write_reports(report_cube.report_catalogue(tickets.sparkSession.read.parquet(folder)), root)

@@ -1,7 +1,10 @@
-from helpers import frame, tickets, ts, values
+import random
+import re
+
+from helpers import bag, frame, plans_sorted, tickets, ts, values
 from pyspark.sql import functions as F
 
-from casewright.operators import actions, profile, reports
+from casewright.operators import actions, profile, report_cube, reports
 
 AS_OF = "2025-06-22"
 
@@ -147,3 +150,40 @@ def test_forwarding_times(spark):
                  ("T1", "Replied", ts("2025-01-05")), ("T2", "Forward", ts("2025-01-01")), ("T3", "Replied", None))
     assert values(actions.forwarding_times(rows), "ticket_no", "total_days_diff", "days_to_fw", "potential_savings") == [
         ("T1", 4.0, 1.0, 25.0), ("T2", 0.0, 0.0, None), ("T3", None, None, None)]
+
+
+def test_cube_reports_equal_direct_ones(spark, tmp_path):
+    """Every published report from one cube, nulls in every column included."""
+    rng = random.Random(1)
+
+    def pick(*values):
+        return rng.choice(values)
+
+    rows = []
+    for _ in range(400):
+        created = f"2025-0{rng.randrange(1, 6)}-{rng.randrange(10, 28)} 0{rng.randrange(10)}:10:00"
+        resolved = pick(None, f"2025-0{rng.randrange(5, 9)}-11 11:00:00")
+        rows.append({
+            "office": pick("A", "B", "Only Letters", None), "mode": pick("Website", "Letter", "Physical", "Other", None),
+            "status_id": pick(0, 1, 2, 2, None), "benefitted": pick("Yes", "No", "yes", None), "created_on": pick(created, created, None),
+            "resolved_on": resolved, "dept": pick(report_cube.TOPIC_DEPT, "D2", None),
+            "category": pick("General", "Miscellaneous", report_cube.TOPIC_CATEGORY, report_cube.TOPIC_CATEGORY, None),
+            "complaint_text": pick("water pipe broken", "pension not paid", "\u0b28\u0b2e\u0b38\u0b4d", None, "")})
+    for given in (rows, rows[:1], []):
+        facts = tickets(spark, given)
+        facts.write.mode("overwrite").parquet(str(tmp_path / "facts"))
+        stored = spark.read.parquet(str(tmp_path / "facts"))
+        report_cube.cube(stored, AS_OF).write.mode("overwrite").parquet(str(tmp_path / "cube"))
+        cut = report_cube.report_catalogue(spark.read.parquet(str(tmp_path / "cube")))
+        direct = reports.report_catalogue(stored, AS_OF)
+        assert list(cut) == list(direct)
+        for name, want in direct.items():
+            assert cut[name].dtypes == want.dtypes, name
+            assert [tuple(r) for r in cut[name].collect()] == [tuple(r) for r in want.collect()] or name == "office_mode_shares", name
+            assert bag(cut[name]) == bag(want), name
+
+
+def test_cube_scans_the_facts_once(spark, tmp_path):
+    tickets(spark, [{}]).write.parquet(str(tmp_path / "facts"))
+    plan = plans_sorted(report_cube.cube(spark.read.parquet(str(tmp_path / "facts")), AS_OF))
+    assert plan.count("FileScan") == 1 and plan.count("Expand") == 1 and len(re.findall(r"\bExchange\b", plan)) == 1
