@@ -11,6 +11,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from casewright.llm.common import trimmed
+
 #: Bytes of words: digits, letters (A-Z become a-z) and all of other than ASCII characters.
 _WORD_BYTES = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256)
@@ -154,7 +156,7 @@ def _scanner(block, window: int, text: str, first: bool):
                 [c for _, c in kept] + [pa.array(c, f.type) for c, f in zip(cols, _OUT, strict=True)],
                 names=[f.name for f, _ in kept] + [f"hits_{f.name}" for f in _OUT],
             )
-    return scan
+    return trimmed(scan)
 
 
 def plain_items_digest(names: list[str]) -> str:

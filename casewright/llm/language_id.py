@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from casewright.llm.common import hash_cut, written
+from casewright.llm.common import hash_cut, trimmed, written
 
 BUCKETS = 4096
 _SLICE = 1 << 20
@@ -133,7 +133,7 @@ def fit(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
 
     vectors = written(
         _sample(docs, train, id_col, text_col, lang_col, per_language, max_languages).mapInArrow(
-            vectorise, "lang string, kind int, n_bytes long, at array<int>, counts array<int>"), "lang-vectors")
+            trimmed(vectorise), "lang string, kind int, n_bytes long, at array<int>, counts array<int>"), "lang-vectors")
     whole = vectors.where(F.col("kind") == len(_LENGTHS))
     n = whole.count()
     if not n:
@@ -216,6 +216,6 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> Da
                 names=batch.schema.names + ["out_lang", "out_score", "out_rejected"])
 
     schema = ", ".join(f"{n} {t}" for n, t in rows.dtypes) + ", out_lang string, out_score double, out_rejected boolean"
-    out = rows.mapInArrow(classify, schema)
+    out = rows.mapInArrow(trimmed(classify), schema)
     return out.select(*[F.col(n).alias(c) for c, n in renamed.items()], F.col("out_lang").alias("lang_pred"),
                       F.col("out_score").alias("score"), F.col("out_rejected").alias("rejected"))

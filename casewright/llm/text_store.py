@@ -15,6 +15,7 @@ import zstandard
 from pyspark.sql import DataFrame
 
 from casewright.llm import shared_files
+from casewright.llm.common import trimmed
 
 #: Columns of a reference.
 PLACE = "stored string, stored_at long, stored_bytes int"
@@ -63,4 +64,4 @@ def with_texts(rows: DataFrame, text_col: str) -> DataFrame:
                     [*[part.column(c) for c in kept], pa.array(texts, pa.binary()).cast(pa.string())], names=[*kept, text_col])
 
     types = dict(rows.dtypes)
-    return in_order(rows).mapInArrow(run, ", ".join(f"`{c}` {types[c]}" for c in kept) + f", `{text_col}` string")
+    return in_order(rows).mapInArrow(trimmed(run), ", ".join(f"`{c}` {types[c]}" for c in kept) + f", `{text_col}` string")

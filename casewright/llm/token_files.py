@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
 from casewright.llm import shared_files
-from casewright.llm.common import written
+from casewright.llm.common import trimmed, written
 from casewright.session import run_folder
 
 #: What the fast path below takes apart by itself.
@@ -155,7 +155,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str = "word_bpe_49k.js
                  pa.array([at]), pa.array([nulls])],
                 names=["part", "stem", "kind", "n_docs", "n_tokens", "null_docs"])
 
-    done = written(parts.mapInArrow(write, _MANIFEST), "token-parts")
+    done = written(parts.mapInArrow(trimmed(write), _MANIFEST), "token-parts")
     # One row per file: as many as there are partitions.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     done.select(
