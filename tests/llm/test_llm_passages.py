@@ -15,7 +15,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from casewright.llm import catalog, lexical_search, substring_dedup, text_store, token_alignment
+from casewright.llm import catalog, lexical_search, substring_dedup, text_store, token_alignment, token_files
 from casewright.llm.common import table
 from test_llm_operators import SF, documents, lower_az, messy
 
@@ -289,3 +289,16 @@ def test_shared_cuts_equal_intersection():
             a, b = a[a <= end], b[b <= end]
             cuts_a, cuts_b = token_alignment.shared_cuts(a, b, [[len(a), len(b)]])
             assert a[cuts_a - 1].tolist() == b[cuts_b - 1].tolist() == np.intersect1d(a, b).tolist()
+
+
+# --- token files with another tokenizer -----------------------------------------------------
+
+def test_other_tokenizers_encode_whole_texts():
+    text = "Hello big world, two  spaces\nand it's 12"
+    words = token_files.WordEncoder("byte_bpe_50k.json")
+    want = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids
+    assert not words.by_chunk and np.frombuffer(words.encode(text.encode()), words.kind).tolist() == want
+    plain = token_files.WordEncoder("word_bpe_49k.json", most=2000)
+    for i in range(300):  # what is remembered stays bounded
+        plain.encode(f"word{i} other{i}".encode())
+    assert plain.by_chunk and plain._bytes < 4000
