@@ -28,6 +28,16 @@ def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]])
     return body
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Spark hand rows to Python workers in batches of ``SLICE_ROWS``, unless the session names a number.
+
+    The default of 10 000 whole texts is held twice while a batch grows, outside the heap, and once more in the worker.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(SLICE_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

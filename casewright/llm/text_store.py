@@ -62,6 +62,7 @@ def with_texts(rows: DataFrame, text_col: str) -> DataFrame:
                          for at in zip(*[part.column(c).to_pylist() for c in places], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(c) for c in kept], pa.array(texts, pa.binary()).cast(pa.string())], names=[*kept, text_col])
+        shared_files.pieces.cache_clear()  # workers are used again
 
     types = dict(rows.dtypes)
     return in_order(rows).mapInArrow(trimmed(run), ", ".join(f"`{c}` {types[c]}" for c in kept) + f", `{text_col}` string")
