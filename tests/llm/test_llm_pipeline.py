@@ -143,6 +143,15 @@ def test_near_copies_are_those_of_brute_force_jaccard(spark, crowd):
     assert {i for i, _ in kept(corpus_pipeline.drop_near_copies(spark, frame, SF))} == set(root)
 
 
+def test_bitmaps_never_differ_in_more_bits_than_sets_do_in_shingles():
+    rng = random.Random(3)
+    sets = [near_copies.shingles(" ".join(rng.choices("abcd", k=n)).encode()) for n in (0, 1, 6, 40, 300, 2000) for _ in range(5)]
+    for x in sets:
+        for y in sets:
+            bits = sum(int(v).bit_count() for v in (near_copies.parity(x) ^ near_copies.parity(y)).view(np.uint64))
+            assert bits <= len(np.setxor1d(x, y)) and len(near_copies.parity(x)) * 64 == 512
+
+
 def test_stages_take_empty_tables(spark):
     docs = table(spark, SF, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
