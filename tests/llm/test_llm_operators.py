@@ -404,6 +404,39 @@ def test_chat_collapse(spark):
     assert chat.format_chats(frame.limit(0)).count() == 0
 
 
+CHAT = "conv_id long, turn long, role string, text string"
+
+
+def test_chat_null_turns_come_before_negative_ones(spark):
+    turns = [(1, -300, "user", "a"), (1, None, "user", "b"), (1, 1, "user", "c"), (2, None, "user", "b"), (3, None, "user", "b"), (3, -300, "user", "a")]
+    turns += [(4, -1000, "user", "a"), (4, -3, "user", "b"), (5, -1000, "user", "a"), (6, -3, "user", "b")]
+    frame = spark.createDataFrame(turns, CHAT).repartition(3)
+    got = rows_of(chat.format_chats(frame), "conv_id", "n_turns", "n_logged", "text")
+    assert got == plain_chats(turns) and [r[0] for r in got] == [1, 4]
+    assert [r["pos"] for r in chat.prefix_hashes(frame).where("conv_id = 1").orderBy("pos").collect()] == [1, 2, 3]
+
+
+@pytest.mark.parametrize("long", [0, 300])
+def test_chat_hot_conversation_is_spread_over_tasks(spark, long):
+    rng = random.Random(8)
+    text = lambda: "same beginning " * long + rng.choice(["", "x", "y", "z"])
+    turns = [(None, rng.choice([None, 7, 7, 7, rng.randrange(-500, 500)]), rng.choice(["user", "u" * 70 + "a", "u" * 70 + "b"]), text()) for _ in range(900)]
+    turns += [(None, 7, "user", "the very same turn")] * 300
+    turns += [(c, t, "user", f"turn {t}") for c in range(120) for t in range(rng.randint(1, 12))]
+    frame = spark.createDataFrame(turns, CHAT).repartition(4)
+    joined = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(joined, "false")  # ranges as small as these would become one
+    try:
+        placed = chat._placed(frame)
+    finally:
+        spark.conf.unset(joined)
+    hot = [r["count"] for r in placed.where("conv_id IS NULL").groupBy("stretch").count().collect()]
+    assert placed.count() == len(turns) and (long or len(hot) > 1 and max(hot) < 1000)
+    names = placed.groupBy("conv_id").agg(F.max("pos").alias("last"), F.count(F.lit(1)).alias("n"), F.count_distinct("pos").alias("places"))
+    assert names.where("last != n OR places != n").count() == 0
+    assert rows_of(chat.format_chats(frame, chunk=16), "conv_id", "n_turns", "n_logged", "text") == plain_chats(turns)
+
+
 # --- toxicity -----------------------------------------------------------------------------
 
 def labelled(spark, n=900):
