@@ -104,15 +104,17 @@ class WordEncoder(dict):
 
 
 @functools.lru_cache(maxsize=1)
-def encoder(file: str) -> WordEncoder:
+def encoder(file: str, most: int = 32 << 20) -> WordEncoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    return WordEncoder(file)
+    return WordEncoder(file, most)
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str = "word_bpe_49k.json", end_id: int = 1,
-                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                 id_col: str = "doc_id", text_col: str = "text", cache_bytes: int = 224 << 20) -> DataFrame:
     """Encode whole texts and write them in ascending ``id_col`` order below ``folder``.
 
+    A task remembers the ids of about ``cache_bytes`` of chunks; fewer only cost encoding again.
+
     Returns the manifest (a Parquet table in ``folder``): ``part, stem, kind, n_docs,
     n_tokens, null_docs, token_base, doc_base``. Rows are dealt out by ranges of the
     identifier, then of a text hash, so that even one identifier with very many texts is
@@ -130,7 +132,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str = "word_bpe_49k.js
     parts = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, part = encoder(tokenizer), TaskContext.get().partitionId()
+        words, part = encoder(tokenizer, cache_bytes), TaskContext.get().partitionId()
         end = np.array([end_id], words.kind).tobytes()
         stem = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}"
         at, docs_n, nulls = 0, 0, 0
