@@ -122,7 +122,7 @@ def conform(records: DataFrame, fields: tuple[C.Field, ...], record: str = "reco
 @dataclass(frozen=True)
 class Conformed:
     """``valid``: carried and typed columns. ``rejects``: carried columns, record, errors.
-    Both filter ``checked``; persist that when both are used."""
+    Both filter ``checked``; use :func:`settled` when both are used."""
 
     valid: DataFrame
     rejects: DataFrame
@@ -140,6 +140,21 @@ def split_valid(checked: DataFrame, fields: tuple[C.Field, ...], record: str = "
     )
 
 
+def settled(result: Conformed, path: str, record: str = "record") -> Conformed:
+    """``result`` evaluated once, into Parquet at ``path``.
+
+    A valid row leaves its record there and a rejected one its typed columns, so a text is
+    written once and compressed; a cache would hold it twice and plain.
+    """
+    ok = F.size("errors") == 0
+    carried = [c for c in result.rejects.columns if c not in (record, "errors")]
+    typed = [F.when(ok, F.col(c)).alias(c) for c in result.valid.columns if c not in carried]
+    rows = result.checked.select(*carried, *typed, F.when(~ok, F.to_json(record)).alias(record), "errors")
+    rows.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    checked = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    return Conformed(checked.where(ok).select(*result.valid.columns), checked.where(~ok).select(*result.rejects.columns), checked)
+
+
 def conform_districts(records: DataFrame) -> Conformed:
     return split_valid(conform(records, C.DISTRICT_FIELDS), C.DISTRICT_FIELDS)
 

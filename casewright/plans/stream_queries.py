@@ -21,7 +21,8 @@ _KEPT = ("ticket_no", "office", "district", "status", "category", "created_on",
 def _(spark, sf):
     """Land the payloads as files, stream them into the complaint table, read it back."""
     landed = fx.payloads(spark, sf).select("value", F.col("seq").alias("ingest_seq"))
-    return _streamed(spark, landed, "complaints").select(*_KEPT, "document_downloaded")
+    kept = (*_KEPT, "document_downloaded")
+    return _streamed(spark, landed, "complaints", kept).select(*kept)
 
 
 @query("m12_streamed_districts", """
@@ -47,8 +48,8 @@ def _(spark, sf):
     return _streamed(spark, landed, "actions")
 
 
-def _streamed(spark, landed, kind: str):
+def _streamed(spark, landed, kind: str, columns=None):
     folder = run_folder(spark, "stream")
-    landed.write.json(f"{folder}/landing")
+    landed.write.option("compression", "lz4").json(f"{folder}/landing")
     ingest.start(spark, kind, f"{folder}/landing", f"{folder}/tables", f"{folder}/checkpoint").awaitTermination()
-    return open_table(spark, f"{folder}/tables", ingest.FEEDS[kind].table).read()
+    return open_table(spark, f"{folder}/tables", ingest.FEEDS[kind].table).read(columns=columns)

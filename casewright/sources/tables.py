@@ -39,6 +39,12 @@ def store_bucketed(rows: DataFrame, path: str, keys: Sequence[str], buckets: int
     return table
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 @dataclass(frozen=True)
 class Table:
     """One table below ``root``.
@@ -82,24 +88,29 @@ class Table:
             rows = rows.where((F.col("_source") != without[0]) | (F.col("_batch") != str(without[1])))
         return rows
 
-    def _latest(self, changes: DataFrame) -> DataFrame:
+    def _carried(self, group: str, columns: Sequence[str] | None) -> list[str]:
+        return [*_ORDER, "_gone", *[c for c in self._groups[group] if columns is None or c in columns]]
+
+    def _latest(self, changes: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
         """Keys with the latest change of each group; combines before the shuffle."""
         order = F.struct(*_ORDER)
         return changes.groupBy(*self.keys).agg(*[
-            F.max_by(F.struct(*_ORDER, "_gone", *columns), F.when(F.col("_group") == g, order)).alias(f"_{g}")
-            for g, columns in self._groups.items()
+            F.max_by(F.struct(*self._carried(g, columns)), F.when(F.col("_group") == g, order)).alias(f"_{g}")
+            for g in self._groups
         ])
 
     def _keyed(self, rows: DataFrame) -> DataFrame:
         return rows.withColumn("_key", F.unhex(F.md5(F.to_json(F.struct(*self.keys)))))
 
-    def latest(self, without: tuple[str, str | int] | None = None) -> DataFrame:
-        """Keys with the latest change of each group, folded or not. Only changes are shuffled."""
-        changed = self._latest(self.changes(without))
+    def latest(self, without: tuple[str, str | int] | None = None, columns: Sequence[str] | None = None) -> DataFrame:
+        """Keys with the latest change of each group (its ``columns`` only, if they are named),
+        folded or not. Only changes are shuffled."""
+        changed = self._latest(self.changes(without), columns)
         if not self.spark.catalog.tableExists(self._state):
             return changed
-        old = self.spark.table(self._state).select(
-            "_key", F.struct(*self.keys).alias("_old_keys"), *[F.col(f"_{g}").alias(f"_old_{g}") for g in self._groups])
+        stored = {g: F.struct(*[F.col(f"_{g}.{c}").alias(c) for c in self._carried(g, columns)]) for g in self._groups}
+        old = self.spark.table(self._state).select("_key", F.struct(*self.keys).alias("_old_keys"), *[
+            F.when(F.col(f"_{g}").isNotNull(), s).alias(f"_old_{g}") for g, s in stored.items()])
         new = self._keyed(changed).select("_key", F.struct(*self.keys).alias("_new_keys"), *[f"_{g}" for g in self._groups])
         joined = old.join(new, "_key", "full_outer")
         keys = F.coalesce("_new_keys", "_old_keys")
@@ -111,14 +122,16 @@ class Table:
 
         return joined.select(*[keys.getField(k).alias(k) for k in self.keys], *[later(g) for g in self._groups])
 
-    def read(self, without: tuple[str, str | int] | None = None) -> DataFrame:
-        """The present rows; ``without`` leaves one commit out, as a replay of it must."""
-        latest, first = self.latest(without), f"_{next(iter(self._groups))}"
-        of = {c: F.col(f"_{g}.{c}") for g, columns in self._groups.items() for c in columns}
+    def read(self, without: tuple[str, str | int] | None = None, columns: Sequence[str] | None = None) -> DataFrame:
+        """The present rows; ``without`` leaves one commit out, as a replay of it must.
+
+        Only the ``columns`` named are read and shuffled (all by default)."""
+        latest, first = self.latest(without, columns), f"_{next(iter(self._groups))}"
+        of = {c: F.col(f"_{g}.{c}") for g, own in self._groups.items() for c in own}
         values = {c: F.coalesce(of[c], F.lit(v)) for c, v in self.defaults.items()}
-        columns = [(F.col(f.name) if f.name in self.keys else values.get(f.name, of.get(f.name)))
-                   .cast(f.dataType).alias(f.name) for f in self.schema.fields]
-        return latest.where(F.col(first).isNotNull() & ~F.col(f"{first}._gone")).select(*columns)
+        read = [(F.col(f.name) if f.name in self.keys else values.get(f.name, of.get(f.name)))
+                .cast(f.dataType).alias(f.name) for f in self.schema.fields if columns is None or f.name in columns]
+        return latest.where(F.col(first).isNotNull() & ~F.col(f"{first}._gone")).select(*read)
 
     def append(self, rows: DataFrame, source: str, batch: str | int, seq: str | Column, group: str | None = None,
                gone: Column | None = None) -> None:
@@ -159,8 +172,7 @@ class Table:
             paths.append(self._location(old))
             self.spark.sql(f"DROP TABLE `{old}`")
         for path in paths:
-            where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+            remove(self.spark, path)
         self.spark.catalog.refreshByPath(self._folder)
 
     def _stored(self) -> str | None:

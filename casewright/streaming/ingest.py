@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from casewright.operators import conform, merge
 from casewright.sources.landing import unwrap_envelopes
-from casewright.sources.tables import Table, open_table
+from casewright.sources.tables import Table, open_table, remove
 
 
 @dataclass(frozen=True)
@@ -32,8 +32,10 @@ class Feed:
 
 
 def _complaint_changes(table, batch: DataFrame):
-    """The last row of a ticket; the table is not read."""
-    return merge.last_in_batch(batch, ["ticket_no"], "ingest_seq"), None
+    """The last row of a ticket; the table is not read. Whole rows, with their texts, are
+    shuffled only if a ticket is repeated."""
+    repeated = batch.groupBy("ticket_no").agg(F.count("*").alias("n")).where("n > 1")
+    return (batch if repeated.isEmpty() else merge.last_in_batch(batch, ["ticket_no"], "ingest_seq")), None
 
 
 def _district_changes(table, batch: DataFrame):
@@ -58,16 +60,16 @@ def apply_batch(feed: Feed, table: Table, rejects_root: str, envelopes: DataFram
     """Commit one batch of envelopes (``value``, ``ingest_seq`` and, for actions,
     ``request_ticket``) and, before it, what was rejected."""
     unwrapped = unwrap_envelopes(envelopes)
-    result = feed.conform(unwrapped.records)
     rejects = f"{rejects_root}/{feed.table}"
     unwrapped.rejects.write.mode("overwrite").parquet(f"{rejects}/envelopes/{source}/{batch}")
-    result.checked.persist()  # read for the commit and for the rejects; lost blocks recompute
+    staged = f"{rejects}/staged/{source}/{batch}"  # read for the commit and for the rejects
     try:
+        result = conform.settled(feed.conform(unwrapped.records), staged)
         result.rejects.write.mode("overwrite").parquet(f"{rejects}/records/{source}/{batch}")
         rows, gone = feed.changes(lambda: table.read(without=(source, batch)), result.valid)
         table.append(rows, source, batch, "ingest_seq", gone=gone)
     finally:
-        result.checked.unpersist()
+        remove(envelopes.sparkSession, staged)
 
 
 def start(spark: SparkSession, kind: str, landing: str, root: str, checkpoint: str,

@@ -305,6 +305,29 @@ def test_complaint_batch_does_not_read_the_table(spark, tmp_path):
     assert gone is None and values(rows, "ticket_no", "ingest_seq") == [("T1", 2)]
 
 
+def test_complaints_are_settled_once_and_move_no_texts(spark, tmp_path):
+    result = checked(spark, complaint(ticketNumber="T1"), complaint(ticketNumber="T2", govtTicket="Maybe"))
+    settled = conform.settled(result, str(tmp_path / "staged"))
+    for a, b in ((settled.valid, result.valid), (settled.rejects, result.rejects)):
+        assert a.columns == b.columns and bag(a) == bag(b)
+    rows = {r["ticket_no"]: r for r in settled.checked.collect()}
+    assert set(rows) == {"T1", None} and rows["T1"]["record"] is None and "T2" in rows[None]["record"]
+    once, _ = ingest.FEEDS["complaints"].changes(None, settled.valid.withColumn("ingest_seq", F.lit(1)))
+    assert "Exchange" not in once._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_table_reads_the_named_columns_only(spark, tmp_path):
+    table = tables.open_table(spark, str(tmp_path), "complaints")
+    rows = checked(spark, complaint(ticketNumber="T1"), complaint(ticketNumber="T2")).valid
+    for batch in (0, 1, 2):
+        table.append(rows, "s", batch, F.lit(batch))
+        read = table.read(columns=["ticket_no", "mode", "document_downloaded"])
+        assert bag(read) == bag(table.read().select("ticket_no", "mode", "document_downloaded"))
+        assert "complaint_text" not in read._jdf.queryExecution().optimizedPlan().toString().split("Relation")[0]
+        if batch == 1:
+            table.fold()
+
+
 def test_stream_of_districts_and_actions(spark, tmp_path):
     _land(tmp_path / "d", "1.json", (1, envelope({"distId": 1, "distName": "A"}, key="distRes")))
     _land(tmp_path / "d", "2.json", (2, envelope({"distId": 1, "distName": "B"}, {"distId": 2, "distName": "C"}, key="distRes")))
