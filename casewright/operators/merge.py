@@ -9,7 +9,7 @@ side first, so copies of one key never meet in a single task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from casewright import contracts as C
 
@@ -35,24 +35,38 @@ def changed(merged: DataFrame) -> DataFrame:
     return merged.where(F.col("action").isin("insert", "update"))
 
 
+def _digest(rows: DataFrame, columns: list[str]) -> Column:
+    """Four 64-bit hashes of the text columns, nulls told apart."""
+    parts = [e for c in columns for e in (F.col(c).isNull(), F.col(c))]
+    return F.struct(*[F.xxhash64(F.lit(i), *parts).alias(f"h{i}") for i in range(4)])
+
+
 def merge(existing: DataFrame, incoming: DataFrame, keys, update_columns, *,
           insert_defaults: dict[str, object] | None = None, update_when: Column | bool = True,
-          insert_new: bool = True, whole: bool = True) -> DataFrame:
-    """Merge ``incoming`` (one row per key) into ``existing`` on non-null ``keys``.
+          insert_new: bool = True, whole: bool = True, seq: str | None = None) -> DataFrame:
+    """Merge ``incoming`` (one row per key, or with ``seq`` the last of each) into ``existing``
+    on non-null ``keys``.
 
     ``whole=False`` leaves out the rows that the batch does not mention: the batch is then
     the outer side, and the table need not be shuffled where the batch is small.
 
     ``update_columns`` are overwritten, null values included; other columns of
     ``existing`` are kept and take ``insert_defaults`` on new rows. ``update_when``
-    false leaves matched rows alone.
+    false leaves matched rows alone. Texts are compared by digests taken before the shuffles,
+    so those that the caller does not select stay where they are.
     """
     keys, update_columns = list(keys), list(update_columns)
     insert_defaults = insert_defaults or {}
+    texts = [c for c in update_columns if isinstance(existing.schema[c].dataType, T.StringType)]
+    others = [c for c in update_columns if c not in texts]
+    order = {} if seq is None else {"_seq": F.col(seq)}
     new = incoming.select(
-        *keys, F.struct(*update_columns).alias("_new"), F.lit(True).alias("_in")
+        *keys, *[F.col(c).alias(f"_new_{c}") for c in update_columns],
+        _digest(incoming, texts).alias("_new_digest"), F.lit(True).alias("_in"), *[c.alias(n) for n, c in order.items()],
     )
-    table = existing.withColumn("_ex", F.lit(True))
+    if seq is not None:
+        new = last_in_batch(new, keys, "_seq").drop("_seq")
+    table = existing.withColumns({"_digest": _digest(existing, texts), "_ex": F.lit(True)})
     if whole:
         joined = table.join(new, keys, "full_outer" if insert_new else "left")
     else:
@@ -60,11 +74,11 @@ def merge(existing: DataFrame, incoming: DataFrame, keys, update_columns, *,
     in_table = F.col("_ex").isNotNull()
     in_batch = F.col("_in").isNotNull()
     allowed = F.lit(update_when) if isinstance(update_when, bool) else update_when
-    differs = ~F.struct(*update_columns).eqNullSafe(F.col("_new"))
+    same = F.struct("_digest", *others).eqNullSafe(F.struct("_new_digest", *[f"_new_{c}" for c in others]))
     action = (
         F.when(~in_batch, F.lit("kept"))
         .when(~in_table, F.lit("insert"))
-        .when(allowed & differs, F.lit("update"))
+        .when(allowed & ~same, F.lit("update"))
         .otherwise(F.lit("noop"))
     )
     take_new = in_batch & (~in_table | allowed)
@@ -73,7 +87,7 @@ def merge(existing: DataFrame, incoming: DataFrame, keys, update_columns, *,
         if name in keys:
             columns.append(F.col(name))
         elif name in update_columns:
-            columns.append(F.when(take_new, F.col(f"_new.{name}")).otherwise(F.col(name)).alias(name))
+            columns.append(F.when(take_new, F.col(f"_new_{name}")).otherwise(F.col(name)).alias(name))
         elif name in insert_defaults:
             default = F.lit(insert_defaults[name]).cast(existing.schema[name].dataType)
             columns.append(F.when(~in_table, default).otherwise(F.col(name)).alias(name))
@@ -123,9 +137,8 @@ def merge_complaints(existing: DataFrame, batch: DataFrame, seq: str = "ingest_s
     Serves the single, batch and bulk loads.
     """
     return merge(
-        existing, last_in_batch(batch, ["ticket_no"], seq), ["ticket_no"],
-        [c for c in _COMPLAINT_COLUMNS if c != "ticket_no"],
-        insert_defaults={"document_downloaded": False}, whole=whole,
+        existing, batch, ["ticket_no"], [c for c in _COMPLAINT_COLUMNS if c != "ticket_no"],
+        insert_defaults={"document_downloaded": False}, whole=whole, seq=seq,
     )
 
 

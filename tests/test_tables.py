@@ -79,6 +79,17 @@ def test_merge_complaints(spark):
     assert bag(shuffled) == bag(merged)
 
 
+def test_merge_moves_no_texts_that_are_not_selected(spark):
+    stored = _complaints(spark, ("T1", "new", "b"), ("T2", "new", None), ("T3", None, "b"))
+    batch = _batch(spark, ("T1", "new", "b"), ("T2", "new", None), ("T3", "b", None))
+    action = merge.merge_complaints(stored, batch).select("ticket_no", "action")
+    assert values(action, "ticket_no", "action") == [("T1", "noop"), ("T2", "noop"), ("T3", "update")]
+    node = action._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "Join":
+        node = node.children().head()
+    assert "complaint_text" not in node.output().mkString(" ")
+
+
 def test_dedupe_is_combined_before_the_shuffle(spark):
     plan = merge.last_in_batch(_batch(spark, ("T1", "a", None), ("T1", "b", None)), ["ticket_no"], "ingest_seq")
     text = plan._jdf.queryExecution().executedPlan().toString()
