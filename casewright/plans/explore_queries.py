@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from casewright import contracts as C
@@ -147,7 +149,7 @@ _TEXTS = "texts AS (SELECT mode, complaint_text, count(*) AS n FROM tickets WHER
   CAST(length(complaint_text) AS INT) AS length, length(complaint_text) > 10 AND n > 10 AS classified_text
  FROM texts WHERE complaint_text IS NOT NULL"""))
 def _(spark, sf):
-    return profile.text_flags(fx.tickets(spark, sf, "mode", "complaint_text"))
+    return profile.text_flags(fx.tickets(spark, sf, "ticket_no", "mode", "complaint_text"), texts=partial(fx.with_texts, spark, sf))
 
 
 def _flagged_sql(where: str) -> str:
@@ -173,7 +175,7 @@ _LOWER = "texts AS (SELECT lower(complaint_text) AS complaint_text, count(*) AS
 @query("e12_distinct_texts", with_ctes(t("complaint_text"), _LOWER,
        "SELECT complaint_text, n AS count, CAST(length(complaint_text) AS INT) AS length FROM texts"))
 def _(spark, sf):
-    return profile.distinct_texts(fx.tickets(spark, sf, "complaint_text"))
+    return profile.distinct_texts(fx.tickets(spark, sf, "ticket_no", "complaint_text"), texts=partial(fx.with_texts, spark, sf))
 
 
 @query("e13_distinct_text_totals", with_ctes(t("complaint_text"), _LOWER, """

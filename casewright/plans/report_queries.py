@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from casewright import contracts as C
-from casewright.operators import reports
+from casewright.operators import profile, reports
 from casewright.plans import fixtures as fx
 from casewright.plans.registry import query, with_ctes
 
@@ -311,7 +313,7 @@ def _(spark, sf):
 
 @query("a19_text_counts", with_ctes(t("complaint_text"), counts_sql("tickets", "complaint_text")))
 def _(spark, sf):
-    return reports.counts(fx.tickets(spark, sf, "complaint_text"), "complaint_text", ordered=False)
+    return profile.text_counts(fx.tickets(spark, sf, "ticket_no", "complaint_text"), texts=partial(fx.with_texts, spark, sf))
 
 
 @query("a19_offline_text_counts", with_ctes(t("complaint_text", "mode"),

@@ -187,3 +187,13 @@ def test_cube_scans_the_facts_once(spark, tmp_path):
     tickets(spark, [{}]).write.parquet(str(tmp_path / "facts"))
     plan = plans_sorted(report_cube.cube(spark.read.parquet(str(tmp_path / "facts")), AS_OF))
     assert plan.count("FileScan") == 1 and plan.count("Expand") == 1 and len(re.findall(r"\bExchange\b", plan)) == 1
+
+
+def test_texts_are_added_to_counted_groups(spark):
+    said = ["Long text number one"] * 12 + ["long text number ONE"] * 2 + ["short", None, ""]
+    rows = tickets(spark, [{"complaint_text": t, "mode": "Letter" if i % 5 == 0 else "Phone"} for i, t in enumerate(said)])
+    texts = lambda found: found.join(rows.select("ticket_no", "complaint_text"), "ticket_no")
+    for f in (profile.text_flags, profile.distinct_texts, profile.text_counts):
+        assert bag(f(rows, texts=texts)) == bag(f(rows))
+    node = profile.text_flags(rows, texts=lambda found: found.withColumn("complaint_text", F.lit("t")))._jdf.queryExecution()
+    assert "complaint_text" not in node.optimizedPlan().toString().split("Aggregate")[1].split("\n")[0].split("AS length")[1]
