@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -8,6 +10,15 @@ def as_column(value) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def bound(value, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once per row.
+
+    An expression that a filter names several times is otherwise evaluated each time, as are the
+    projections it is pushed through.
+    """
+    return F.transform(F.array(as_column(value)), use)[0]
+
+
 PIN = "_pinned"
 
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, functions as F
 
 from casewright import contracts as C
-from casewright.functions.base import as_column
+from casewright.functions.base import as_column, bound
 
 
 def contains_any(text, needles) -> Column:
@@ -22,18 +22,36 @@ def contains_none(text, needles) -> Column:
 
 def topic_of(text) -> Column:
     """First matching topic of the lower-cased text; null text counts as unmatched."""
-    text = F.lower(as_column(text))
-    ladder = F
-    for topic, keywords in C.TOPIC_KEYWORDS:
-        ladder = ladder.when(contains_any(text, keywords), F.lit(topic))
-    return ladder.otherwise(F.lit(C.TOPIC_DEFAULT))
+    def ladder(low: Column) -> Column:
+        found = F
+        for topic, keywords in C.TOPIC_KEYWORDS:
+            found = found.when(contains_any(low, keywords), F.lit(topic))
+        return found.otherwise(F.lit(C.TOPIC_DEFAULT))
+
+    return bound(F.lower(as_column(text)), ladder)
 
 
 def is_mostly_ascii(text, threshold: float = 0.9) -> Column:
-    """Share of ASCII characters at or above ``threshold``; false for null or empty."""
-    text = as_column(text)
-    ascii_only = F.length(F.regexp_replace(text, r"[^\x00-\x7F]", ""))
-    return F.coalesce(F.try_divide(ascii_only, F.length(text)) >= threshold, F.lit(False))
+    """Share of ASCII characters at or above ``threshold``; false for null or empty.
+
+    A character beyond ASCII takes one to three bytes more than one of ASCII, so the lengths in
+    characters and bytes bound the share; only texts between the bounds have their characters counted.
+    """
+    def share(ascii_only: Column, chars: Column) -> Column:
+        return F.try_divide(ascii_only, chars) >= threshold
+
+    def settled(text: Column) -> Column:
+        chars = F.length(text)
+        more = F.octet_length(text) - chars
+        valid = F.is_valid_utf8(text)
+        counted = F.length(F.regexp_replace(text, r"[^\x00-\x7F]", ""))
+        return (
+            F.when(valid & share(chars - more, chars), F.lit(True))
+            .when(valid & ~share(chars - F.floor(more / 3), chars), F.lit(False))
+            .otherwise(share(counted, chars))
+        )
+
+    return F.coalesce(bound(text, settled), F.lit(False))
 
 
 def replace_literal(text, old: str, new: str) -> Column:

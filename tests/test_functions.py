@@ -91,6 +91,23 @@ def test_mostly_ascii(spark, text, want):
     assert one(spark, tx.is_mostly_ascii("c"), c=text) is want
 
 
+def test_mostly_ascii_between_the_bounds_of_lengths(spark):
+    texts = ["a" * (40 - n) + c * n for n in range(41) for c in ("é", "क", "😀")] + ["a" * 36 + "é😀क😀", "a" * 37 + "é😀क"]
+    got = frame(spark, "c string", *[(t,) for t in texts]).select(tx.is_mostly_ascii("c")).collect()
+    assert [r[0] for r in got] == [sum(c < "\x80" for c in t) / len(t) >= 0.9 for t in texts]
+    broken = spark.sql("SELECT CAST(X'61FF' AS STRING) AS c UNION ALL SELECT CAST(X'61616161616161616161C3' AS STRING)")
+    assert [r[0] for r in broken.select(tx.is_mostly_ascii("c")).collect()] == [False, True]
+
+
+def test_filters_on_topics_read_the_text_once(spark):
+    rows = frame(spark, "a string, b string", ("my ", "house"), ("a ", "road")).select(F.concat("a", "b").alias("t"))
+    picked = rows.where(tx.is_mostly_ascii("t") & (tx.topic_of("t") == "Other"))
+    plan = picked._jdf.queryExecution().executedPlan().toString()
+    condition = next(line for line in plan.splitlines() if "Filter" in line)
+    assert condition.count("lower(") == 1 and condition.count("concat(") == 2
+    assert [r["t"] for r in picked.collect()] == ["a road"]
+
+
 def test_recodes(spark):
     rows = frame(spark, "mode string, yes string, cat string", ("Mobile", "Yes", "General"),
                  ("Joint Hearing", "yes", "Miscellaneous"), ("Email", "No", "Land"), ("Other", None, None))
