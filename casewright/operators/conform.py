@@ -82,7 +82,8 @@ def _value_and_error(field: C.Field) -> tuple[Column, Column]:
     missing = F.when(json_type.isNull(), F.lit(f"{field.name}:missing"))
     if field.kind == "any" or (field.nullable and field.kind.endswith("time")):
         return typed, missing
-    wrong = typed.isNull() & ~is_null if field.nullable else typed.isNull()
+    unread = json_type != "STRING" if field.kind == "text" else typed.isNull()  # a type tells without the text
+    wrong = unread & ~is_null if field.nullable else unread
     return typed, missing.when(wrong, F.lit(f"{field.name}:{_PROBLEMS[field.kind]}"))
 
 

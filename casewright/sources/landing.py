@@ -42,33 +42,41 @@ class Unwrapped:
     rejects: DataFrame
 
 
-def _payload(body: Column) -> tuple[Column, Column]:
-    """Record list of the first envelope key that is present, and whether any is."""
-    found = [F.variant_get(body, f"$.{key}", "variant") for key in C.ENVELOPE_KEYS]
-    present = reduce(lambda a, b: a | b, [f.isNotNull() for f in found])
-    return F.coalesce(*found), present
+def _present(body: Column) -> list[Column]:
+    """The value of each envelope key, null where the key is absent."""
+    return [F.variant_get(body, f"$.{key}", "variant") for key in C.ENVELOPE_KEYS]
+
+
+def _records(body: Column) -> Column:
+    """Records of the first envelope key that is present; null if that is no list.
+
+    Each record is copied once. A key is looked at as a whole only if it is no list.
+    """
+    found = F.lit(None).cast("array<variant>")
+    for key, value in reversed(list(zip(C.ENVELOPE_KEYS, _present(body), strict=True))):
+        found = F.coalesce(F.try_variant_get(body, f"$.{key}", "array<variant>"), F.when(value.isNull(), found))
+    return found
 
 
 def open_envelopes(envelopes: DataFrame, text: str = "value") -> DataFrame:
-    """Adds ``payload`` (variant) and ``reason`` (null for a usable or empty answer).
+    """Adds ``payload`` (array of variants) and ``reason`` (null for a usable or empty answer).
 
     The result is pinned, see :func:`casewright.functions.base.pinned`.
     """
     parsed = envelopes.withColumn("_body", F.try_parse_json(F.col(text)))
     body = F.col("_body")
     code = F.variant_get(body, "$.status", "variant")
-    status = F.when(F.schema_of_variant(code) == "BIGINT", code.try_cast("bigint"))
-    payload, present = _payload(body)
-    kind = F.schema_of_variant(payload)
+    coded = F.when(F.schema_of_variant(code) == "BIGINT", code.try_cast("bigint"))
+    listed = parsed.withColumns({"_status": coded, "_list": _records(body)})
+    status, other = F.col("_status"), F.coalesce(*_present(body))
     reason = (
         F.when(body.isNull(), F.lit("not_json"))
         .when(status.isNull() | ~status.isin(200, 204), F.lit("error_status"))
-        .when((status == 200) & ~present, F.lit("no_payload"))
-        .when((status == 200) & ~kind.startswith("ARRAY") & (kind != "VOID"), F.lit("not_a_list"))
+        .when((status == 200) & F.col("_list").isNull(),
+              F.when(other.isNull(), F.lit("no_payload")).when(~F.is_variant_null(other), F.lit("not_a_list")))
     )
-    listed = (status == 200) & kind.startswith("ARRAY")
-    return parsed.select(*pinned(
-        [*envelopes.columns, F.when(listed, payload).alias("payload"), reason.alias("reason")]
+    return listed.select(*pinned(
+        [*envelopes.columns, F.when(status == 200, F.col("_list")).alias("payload"), reason.alias("reason")]
     ))
 
 
@@ -77,9 +85,7 @@ def unwrap_envelopes(envelopes: DataFrame, text: str = "value") -> Unwrapped:
     opened = open_envelopes(envelopes, text)
     carried = [c for c in envelopes.columns if c != text]
     usable = where_pinned(opened, F.col("payload").isNotNull()).select(*carried, "payload")
-    records = usable.lateralJoin(
-        envelopes.sparkSession.tvf.variant_explode(F.col("payload").outer())
-    ).select(*carried, "pos", F.col("value").alias("record"))
+    records = usable.select(*carried, F.posexplode("payload").alias("pos", "record"))
     rejects = where_pinned(opened, F.col("reason").isNotNull()).select(*carried, text, "reason")
     return Unwrapped(records, rejects)
 

@@ -44,6 +44,22 @@ def test_envelopes(spark):
     ], key=repr)
 
 
+def test_payloads_are_opened_once(spark):
+    got = records(spark, envelope({"a": 1}, None, [2]), json.dumps({"status": 200, "Res": None, "actionHistory": "x"}),
+                  json.dumps({"status": 200, "distRes": 7, "Res": [{"a": 6}]}), "[1]", "null", json.dumps({"status": 204, "Res": 1}))
+    read = got.records.select("n", "pos", F.to_json("record").alias("record"))
+    assert values(read, "n", "pos", "record") == [(0, 0, '{"a":1}'), (0, 1, "null"), (0, 2, "[2]")]
+    assert values(got.rejects, "n", "reason") == [(2, "not_a_list"), (3, "error_status"), (4, "error_status")]
+    plan = got.records._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("schema_of_variant") + plan.count("schemaOfVariant") <= 1  # of the status only
+
+
+def test_errors_alone_read_no_texts(spark):
+    rejects = checked(spark, complaint(modeName=5), complaint(modeName=None)).rejects.select("errors")
+    assert [r["errors"] for r in rejects.collect()] == [["mode:not_text"]] * 2
+    assert "_text_complaint_text" not in rejects._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_partitioned_landing_prunes(spark, tmp_path):
     rows = frame(spark, "value string, year int, dist_id int, status int, office int",
                  (envelope({"a": 1}), 2024, 1, 0, 3), (envelope({"a": 2}), 2024, 2, 1, 3))
