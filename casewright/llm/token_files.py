@@ -11,6 +11,8 @@ from __future__ import annotations
 import functools
 import json
 import os
+import re
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -18,7 +20,6 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
@@ -34,9 +35,10 @@ _SPLIT = {"type": "Sequence", "pretokenizers": [
     {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
      "behavior": "Removed", "invert": True},
     {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
-_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-#: Chunks whose splitting and lower-casing need no library: ASCII and Latin-1 letters.
-_PLAIN = regex.compile(r"(?:(?!<\|)[\x21-\x7eÀ-ÿ])+")
+#: Chunks whose splitting and lower-casing need no library: ASCII and Latin-1 letters without
+#: ``<|``, and how they split.
+_PLAIN = re.compile(r"[\x21-\x7eÀ-ÿ]+")
+_PLAIN_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
 _MANIFEST = "part int, stem string, kind string, n_docs long, n_tokens long, null_docs long"
 
 
@@ -65,6 +67,7 @@ class WordEncoder(dict):
         self.by_chunk = how.get("normalizer") == _LOWERED and how.get("pre_tokenizer") == _SPLIT
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self._model, self._most = self.tokenizer.model, most
+        self._code = "H" if self.kind.itemsize == 2 else "I"
         self._letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
         self._pieces: dict[str, bytes] = {}
         self._bytes = 0
@@ -75,21 +78,24 @@ class WordEncoder(dict):
         self._bytes = 0
 
     def _ids(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.kind).tobytes()
+        return struct.pack(f"<{len(ids)}{self._code}", *ids)
+
+    def _piece(self, piece: str) -> bytes:
+        if (ids := self._pieces.get(piece)) is None:
+            shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self._letters)
+            ids = self._pieces[piece] = self._ids([t.id for t in self._model.tokenize(shown)])
+            self._bytes += 200 + 4 * len(piece) + len(ids)
+        return ids
 
     def __missing__(self, chunk: bytes) -> bytes:
-        text = chunk.decode("utf-8", "replace")
-        if not _PLAIN.fullmatch(text):
-            out = self._ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if chunk.isalpha():  # ASCII letters are one piece
+            out = self._piece(chunk.decode().lower())
         else:
-            known, out = self._pieces, []
-            for piece in _PIECES.findall(text.lower()):
-                if (ids := known.get(piece)) is None:
-                    shown = piece.encode().decode("latin-1").translate(self._letters)
-                    ids = known[piece] = self._ids([t.id for t in self._model.tokenize(shown)])
-                    self._bytes += 200 + 4 * len(piece) + len(ids)
-                out.append(ids)
-            out = b"".join(out)
+            text = chunk.decode("utf-8", "replace")
+            if _PLAIN.fullmatch(text) and "<|" not in text:
+                out = b"".join(map(self._piece, _PLAIN_PIECES.findall(text.lower())))
+            else:
+                out = self._ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
         if self._bytes > self._most:  # bounds memory; only costs encoding again
             self.forget()
         if len(chunk) < 256:
@@ -113,7 +119,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str = "word_bpe_49k.js
                  id_col: str = "doc_id", text_col: str = "text", cache_bytes: int = 224 << 20) -> DataFrame:
     """Encode whole texts and write them in ascending ``id_col`` order below ``folder``.
 
-    A task remembers the ids of about ``cache_bytes`` of chunks; fewer only cost encoding again.
+    A worker remembers the ids of about ``cache_bytes`` of chunks, also for its next tasks; fewer
+    only cost encoding again.
 
     Returns the manifest (a Parquet table in ``folder``): ``part, stem, kind, n_docs,
     n_tokens, null_docs, token_base, doc_base``. Rows are dealt out by ranges of the
@@ -150,7 +157,6 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str = "word_bpe_49k.js
                 names.write(batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False).astype("<i8"))
                 docs_n += batch.num_rows
             offsets.write(np.array([at], "<u8"))
-        words.forget()  # workers are used again
         if docs_n:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([stem]), pa.array([words.kind.str]), pa.array([docs_n]),

@@ -302,3 +302,14 @@ def test_other_tokenizers_encode_whole_texts():
     for i in range(300):  # what is remembered stays bounded
         plain.encode(f"word{i} other{i}".encode())
     assert plain.by_chunk and plain._bytes < 4000
+
+
+def test_plain_chunks_are_split_as_the_library_splits(monkeypatch):
+    words, rng = token_files.WordEncoder("word_bpe_49k.json"), random.Random(1)
+    letters = [chr(c) for c in (*range(0x21, 0x7F), *range(0xA0, 0x100))] + ["<|", "|>", " ", "'s", "'LL", "İ", "\x1c", "\x85"]
+    for text in ("".join(rng.choices(letters, k=rng.randrange(1, 30))) for _ in range(3000)):
+        ids = np.frombuffer(words.encode(text.encode()), words.kind).tolist()
+        assert ids == words.tokenizer.encode(text, add_special_tokens=False).ids, text
+    want = words.tokenizer.encode("Entirely Plain", add_special_tokens=False).ids
+    monkeypatch.setattr(token_files, "_PLAIN", None)  # ASCII letters need no pattern
+    assert np.frombuffer(words.encode(b"Entirely Plain"), words.kind).tolist() == want
