@@ -143,6 +143,40 @@ def test_near_copies_are_those_of_brute_force_jaccard(spark, crowd):
     assert {i for i, _ in kept(corpus_pipeline.drop_near_copies(spark, frame, SF))} == set(root)
 
 
+def test_near_copies_are_linked_by_fingerprints_first(spark, monkeypatch):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefgh", k=5))
+    texts = []
+    for _ in range(4):
+        base = [word() for _ in range(300)]
+        texts += [" ".join(base[:i] + [word()] + base[i + 1:]) for i in (0, 100, 150, 200, 299)] + [" ".join(base)] * 2
+    texts.append(" ".join(word() for _ in range(300)))
+    found, held = [], near_copies._by_fingerprint
+
+    def seen(places, width):
+        links, fps = held(places, width), {r["node"]: r["fp"] for r in places.collect()}
+        found.append(([tuple(r) for r in links.select("a", "b").collect()], fps))
+        return links
+
+    monkeypatch.setattr(near_copies, "_by_fingerprint", seen)
+    got = near_copies.near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), sample=1).collect()
+    (links, fps), = found
+    sets = {r["node"]: plain_shingles(texts[r["doc_id"]]) for r in got}
+    assert all(5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) for a, b in links)
+
+    def parts(pairs):
+        root = {n: n for n in fps}
+        for _ in root:
+            for a, b in pairs:
+                root[a] = root[b] = min(root[a], root[b])
+        return Counter(root.values())
+
+    mask = (1 << 64) - 1
+    near = [(a, b) for a in fps for b in fps if a < b and ((fps[a] ^ fps[b]) & mask).bit_count() <= 2]
+    assert near and parts(links) == parts(near)
+    assert sorted(Counter(r["root"] for r in got).values()) == [1, 7, 7, 7, 7]
+
+
 def test_bitmaps_never_differ_in_more_bits_than_sets_do_in_shingles():
     rng = random.Random(3)
     sets = [near_copies.shingles(" ".join(rng.choices("abcd", k=n)).encode()) for n in (0, 1, 6, 40, 300, 2000) for _ in range(5)]
