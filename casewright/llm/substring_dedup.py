@@ -181,14 +181,18 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     classes = rows.where(F.col("n_words") >= window).groupBy("whole").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n"))
     classes = written(classes.select("whole", F.col("first.doc_id").alias("least"), F.col("first.no").alias("same_as"), "n"), "repeat-classes")
     meta = rows.select("no", "doc_id", *[c.split()[0] for c in text_store.PLACE.split(", ")])
-    marked = meta.join(classes.select(F.col("same_as").alias("no")), "no", "left_semi").join(_shared_anchors(rows), "no")
+    # Spark knows lists only by the size of their file, so that joins with them are not left to its choice.
+    firsts = classes.select(F.col("same_as").alias("no"))
+    marked = meta.join(firsts.hint("merge"), "no", "left_semi").join(_shared_anchors(rows).hint("merge"), "no")
     marked = written(text_store.in_order(marked), "repeat-marked")
 
     found = _windows(marked, window, period)
     several = found.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")).where(
         "n > 1 AND least IS NOT NULL").select("h1", "h2", "least")
     several = written(several, "repeat-windows")
-    repeats = found.join(several, ["h1", "h2"]).where("doc_id IS NULL OR doc_id > least").groupBy("no").agg(
+    # A document becomes very many windows, of which Spark knows the size before only: they must not be the side it broadcasts.
+    earlier = F.expr("w.h1 = s.h1 AND w.h2 = s.h2 AND (w.doc_id IS NULL OR w.doc_id > s.least)")
+    repeats = found.alias("w").join(several.alias("s"), earlier, "left_semi").groupBy("no").agg(
         F.sort_array(F.collect_list("start")).alias("starts"))
     spans = written(repeats.select(F.col("no").alias("same_as"), "starts").mapInArrow(
         _joined(window), "same_as long, spans array<struct<first:int,end:int>>"), "repeat-spans")
@@ -197,11 +201,12 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     copies = classes.where("n > 1").select("whole", "least", "same_as")
     judged = rows.drop("anchors").join(copies, "whole", "left")
     copy = F.col("least").isNotNull() & (F.col("doc_id").isNull() | (F.col("doc_id") > F.col("least")))
+    # Copies have no spans to join: keys of their own, so that they do not meet in one task.
     judged = judged.withColumn("copy", F.coalesce(copy, F.lit(False))).withColumn(
-        "same_as", F.when(~F.col("copy"), F.coalesce("same_as", "no")))
+        "same_as", F.when(~F.col("copy"), F.coalesce("same_as", "no")).otherwise(-1 - F.col("no")))
     all_words = F.array(F.struct(F.lit(0).alias("first"), F.col("n_words").cast("int").alias("end")))
     none = F.array().cast("array<struct<first:int,end:int>>")
-    return judged.join(spans, "same_as", "left").withColumn(
+    return judged.join(spans.hint("merge"), "same_as", "left").withColumn(
         "spans", F.when(F.col("copy"), all_words).otherwise(F.coalesce("spans", none))).select(
         "doc_id", "n_words", "spans", "stored", "stored_at", "stored_bytes")
 

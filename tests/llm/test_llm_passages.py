@@ -187,6 +187,29 @@ def test_substring_dedup_awkward(spark):
     assert deduplicated(spark.createDataFrame([], ROW), 50) == []
 
 
+def test_substring_windows_are_never_broadcast(spark, monkeypatch):
+    """A few short rows become very many windows, whatever size Spark takes them for."""
+    plans, held = {}, substring_dedup.written
+
+    def seen(rows, purpose):
+        plans[purpose] = rows._jdf.queryExecution().executedPlan().toString()
+        return held(rows, purpose)
+
+    monkeypatch.setattr(substring_dedup, "written", seen)
+    shared = " ".join(f"w{i}" for i in range(4000))
+    docs = [(2, "a " + shared), (1, "b " + shared), (None, shared + " c"), (None, "d")]
+    got = deduplicated(spark.createDataFrame(docs, ROW), 50)
+    assert got == plain_repeats(docs, 50) and sum(r[2] for r in got) == 8000
+    below = None
+    for line in plans["repeat-spans"].splitlines():
+        depth = max(line.find("+- "), line.find(":- "))
+        if below is not None and depth <= below:
+            below = None
+        if below is None and "BroadcastExchange" in line:
+            below = depth
+        assert below is None or "MapInArrow" not in line, plans["repeat-spans"]
+
+
 def test_substring_query_on_documents(spark):
     got = {r["doc_id"]: r for r in catalog.ENTRIES["op12_substring_dedup"].run(spark, SF).collect()}
     for i, n, gone, kept in plain_repeats(list(documents(spark).items()), 50):
