@@ -138,7 +138,8 @@ def components(links: DataFrame, most_rounds: int = 100) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
-                    segments: int = 8, crowd: int = 256, carry: Sequence[str] = ()) -> DataFrame:
+                    segments: int = 8, crowd: int = 256, carry: Sequence[str] = (), fp_col: str | None = None,
+                    links: DataFrame | None = None) -> DataFrame:
     """One row per input row: ``doc_id, fingerprint, component_id, root`` and the ``carry`` columns.
 
     Documents of one fingerprint are one class (map-side counts and minima); only distinct
@@ -148,10 +149,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tells components apart in any case. Texts without words (null, empty or white space)
     have fingerprint zero and link like any other; repeated rows give repeated rows; an
     empty table gives none; other columns are ignored.
+
+    ``fp_col`` names fingerprints that ``docs`` holds already, in place of texts; ``links`` are
+    those that ``near_pairs`` found between them, if it ran before.
     """
-    rows = written(fingerprints(docs, id_col, text_col, width, carry), "simhash")
+    if fp_col is None:
+        rows = written(fingerprints(docs, id_col, text_col, width, carry), "simhash")
+    else:
+        rows = docs.select(F.col(id_col).alias("doc_id"), F.col(fp_col).alias("fp"), *carry)
     classes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes")
-    roots = components(near_pairs(classes.select("fp"), segments=segments, crowd=crowd))
+    roots = components(near_pairs(classes.select("fp"), segments=segments, crowd=crowd) if links is None else links)
     rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))

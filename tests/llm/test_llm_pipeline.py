@@ -14,6 +14,7 @@ import corpus_pipeline
 import test_llm_operators as plain
 from casewright.llm import catalog, language_id, mixing, near_copies
 from casewright.llm.common import table, written
+from casewright.llm.simhash import fingerprint
 from tools.check_queries import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -177,6 +178,46 @@ def test_near_copies_are_linked_by_fingerprints_first(spark, monkeypatch):
     assert sorted(Counter(r["root"] for r in got).values()) == [1, 7, 7, 7, 7]
 
 
+def chain_by_fingerprints():
+    """Three texts, each near the next by shingles and by one or two bits; the ends are too far apart by shingles."""
+    near = lambda x, y: 5 * len(x & y) >= 4 * len(x | y)
+    for seed in range(1000):
+        rng = random.Random(seed)
+        word = lambda: "".join(rng.choices("abcdefgh", k=5))
+        often, tail = [word() for _ in range(4)] * 200, [word() for _ in range(60)]
+        tails = [tail, tail[:20] + [word()] + tail[21:], tail[:20] + [word()] + tail[21:]]
+        tails[2] = tails[1][:40] + tails[2][20:21] + tails[1][41:]
+        texts = [" ".join(often + t) for t in tails]
+        z, y, x = (plain_shingles(t) for t in texts)
+        bits = [fingerprint(t.encode()) for t in texts]
+        if near(z, y) and near(y, x) and not near(z, x) and all(0 < (a ^ b).bit_count() <= 2 for a, b in zip(bits, bits[1:], strict=False)):
+            return texts
+    raise AssertionError("no such texts")
+
+
+def test_operator_nine_sees_all_texts_and_all_its_links_are_verified(spark, monkeypatch):
+    z, y, x = chain_by_fingerprints()
+    texts = [z, z, z, y, x, "a text that shares nothing with any other one", "one two three four five six", ""]
+    seen, called, held, operator = [], [], near_copies._by_fingerprint, near_copies.near_duplicates
+
+    def linked(places, width):
+        links = held(places, width)
+        seen.append({tuple(sorted(r)) for r in links.select("a", "b").collect()})
+        return links
+
+    def grouped(docs, **how):
+        called.append({r[how["fp_col"]] & (1 << 64) - 1 for r in docs.collect()})
+        return operator(docs, **how)
+
+    monkeypatch.setattr(near_copies, "_by_fingerprint", linked)
+    monkeypatch.setattr(near_copies, "near_duplicates", grouped)
+    got = near_copies.near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), sample=1).collect()
+    node = {r["doc_id"]: r["node"] for r in got}
+    assert called == [{fingerprint(t.encode()) for t in texts}]
+    assert seen == [{tuple(sorted((node[0], node[3]))), tuple(sorted((node[3], node[4])))}]
+    assert sorted(Counter(r["root"] for r in got).values()) == [1, 1, 1, 5]
+
+
 def test_bitmaps_never_differ_in_more_bits_than_sets_do_in_shingles():
     rng = random.Random(3)
     sets = [near_copies.shingles(" ".join(rng.choices("abcd", k=n)).encode()) for n in (0, 1, 6, 40, 300, 2000) for _ in range(5)]
