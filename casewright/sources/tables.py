@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from casewright import contracts as C
 
+#: Files up to which a bucketed table is written without a shuffle.
+_FILES = 1 << 15
 _ORDER = ("_seq", "_source", "_batch")
 _EXTRA = T.StructType([
     T.StructField("_group", T.StringType()), T.StructField("_gone", T.BooleanType()),
@@ -29,11 +31,17 @@ _EXTRA = T.StructType([
 
 def store_bucketed(rows: DataFrame, path: str, keys: Sequence[str], buckets: int | None = None) -> DataFrame:
     """``rows`` as a catalog table below ``path``, hashed by ``keys`` into as many buckets as
-    shuffles have partitions, one sorted file each. A join or a grouping by ``keys`` reads
-    it without a shuffle."""
+    shuffles have partitions. A join or a grouping by ``keys`` reads it without a shuffle.
+
+    Tasks write their rows straight to sorted files of each bucket, as a shuffle would hold whole
+    rows on disk a second time. Only where all cores together would leave over ``_FILES`` files
+    are rows shuffled first, to one file a bucket.
+    """
     spark = rows.sparkSession
     n, name = buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), f"stored_{uuid.uuid4().hex}"
-    rows.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    tasks = _FILES // n
+    rows = rows.repartition(n, *keys) if tasks < spark.sparkContext.defaultParallelism else rows.coalesce(tasks)
+    rows.write.bucketBy(n, *keys).sortBy(*keys).option("path", path).option("compression", "zstd").saveAsTable(name)
     table = spark.table(name)
     table.stored_name = name
     return table

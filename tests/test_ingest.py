@@ -175,6 +175,21 @@ def test_batches_into_buckets_shuffle_only_the_batch(spark, tmp_path):
     assert exchanged(applied) <= {"batch"} and applied.where("document_downloaded").count() == 1
 
 
+def test_buckets_are_written_without_a_shuffle(spark, tmp_path, monkeypatch):
+    keys = F.when(F.col("id") % 50 != 0, F.concat(F.lit("T"), F.col("id") % 60))  # repeated and null keys
+    rows = spark.range(0, 400, 1, 4).select(keys.alias("ticket_no"), F.repeat(F.lit("word "), 50).alias("text"), "id")
+    for files, tasks in ((1 << 15, {0, 1, 2, 3}), (1, {0, 1, 2, 3, 4})):
+        monkeypatch.setattr(tables, "_FILES", files)
+        folder = tmp_path / f"stored-{files}"
+        stored = tables.store_bucketed(rows, str(folder), ["ticket_no"], 5)
+        assert bag(stored) == bag(rows) and exchanged(stored.groupBy("ticket_no").count()) == set()
+        parts = [re.match(r"part-(\d+)-.*_(\d+)\.c000\.zstd", f.name) for f in folder.glob("*.parquet")]
+        found = [(int(p[1]), int(p[2])) for p in parts]
+        # Each task of the rows has files of many buckets, or after a shuffle those of its own bucket only.
+        assert {t for t, _ in found} <= tasks and all((t != b) <= (files > 1) for t, b in found)
+        assert (len(found) > 5) == (files > 1)
+
+
 def exchanged(rows):
     """Which scans stand below a shuffle in the plan: bucketed ``state`` or the ``batch``."""
     found, below = set(), None
